@@ -70,9 +70,18 @@ def log(t: Tables) -> DataFrame:
     return load.backfill_log(t("load_log"))
 
 
+def load_state(t: Tables, entity: str, target: str, ref: str) -> tuple[DataFrame, DataFrame]:
+    """(history, existing) of an entity, stored."""
+    return (
+        materialize(load.log_history(log(t), entity), "history"),
+        materialize(load.target_ids(t(target), ref), "existing"),
+    )
+
+
 def outcomes(t: Tables, refused: bool = True) -> DataFrame:
     return load.plan_load(
-        valid_customers(t), log(t), t("target_partner"), "customer", "ref",
+        valid_customers(t),
+        *load_state(t, "customer", "target_partner", "ref"),
         t("rejections") if refused else None,
     )
 
@@ -636,7 +645,7 @@ def load_outcomes(t: Tables) -> DataFrame:
     LEFT JOIN {products} p ON p.ref = v.default_code"""))
 def item_load_outcomes(t: Tables) -> DataFrame:
     planned = load.plan_load(
-        valid_items(t), log(t), t("target_product"), "item", "default_code"
+        valid_items(t), *load_state(t, "item", "target_product", "default_code")
     )
     return planned.select("entity_id", "name", "status", "target_id", "created")
 
@@ -836,11 +845,10 @@ def preview_failed(t: Tables) -> DataFrame:
 
 def _reports(t: Tables) -> dict[str, DataFrame]:
     validated = materialize(customer_results(t), "validated")
+    history, existing = load_state(t, "customer", "target_partner", "ref")
     planned = load.plan_load(
-        validate.valid_rows(validated), log(t), t("target_partner"), "customer", "ref",
-        t("rejections"),
+        validate.valid_rows(validated), history, existing, t("rejections")
     )
-    history = load.log_history(log(t), "customer")
     return report_tables(
         customer_flow(), validated, planned, history, "parquet", "2024-02-01 00:00:00", False
     )

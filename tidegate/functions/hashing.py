@@ -8,10 +8,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # JSON's short escapes.
-SHORT_ESCAPES = [
-    ("\\", "\\\\"), ('"', '\\"'), ("\b", "\\b"), ("\f", "\\f"),
-    ("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t"),
-]
+SHORT_ESCAPES = {
+    '"': '\\"', "\\": "\\\\", "\b": "\\b", "\f": "\\f", "\n": "\\n", "\r": "\\r", "\t": "\\t",
+}
+
+# Plain ranges: the negated form of this class scans ten times slower.
+NEEDS_ESCAPE = r'[\x00-\x1f"\\\x7f-\x{10ffff}]'
 
 
 def _hex_escape(unit: Column) -> Column:
@@ -25,33 +27,34 @@ def _escape_char(ch: Column) -> Column:
         _hex_escape(F.shiftright(offset, 10) + 0xD800),
         _hex_escape(offset.bitwiseAND(F.lit(0x3FF)) + 0xDC00),
     )
+    escape = F
+    for raw, short in SHORT_ESCAPES.items():
+        escape = escape.when(ch == raw, short)
     return (
-        F.when(point.between(0x20, 0x7E), ch)
+        escape.when(point.between(0x20, 0x7E), ch)
         .when(point < 0x10000, _hex_escape(point))
         .otherwise(pair)
     )
 
 
-def json_string(c: Column) -> Column:
-    """``c`` as an ASCII-only JSON string literal.
+def json_body(c: Column) -> Column:
+    """``c`` as the inside of an ASCII-only JSON string.
 
-    Plain printable text takes the short path; only values that hold other
-    characters are escaped character by character.
+    Only text with control or non-ASCII characters is taken apart into characters.
     """
-    text = c
-    for raw, escaped in SHORT_ESCAPES:
-        text = F.replace(text, F.lit(raw), F.lit(escaped))
-    escaped_all = F.array_join(F.transform(F.split(text, ""), _escape_char), "")
-    body = F.when(text.rlike(r"[^ -~]"), escaped_all).otherwise(text)
-    return F.concat(F.lit('"'), body, F.lit('"'))
+    by_character = F.array_join(F.transform(F.split(c, ""), _escape_char), "")
+    return (
+        F.when(c.rlike(r"[^ -~]"), by_character)
+        .when(c.rlike(r'["\\]'), F.regexp_replace(c, r'(["\\])', r"\\$1"))
+        .otherwise(c)
+    )
 
 
 def _value_text(df: DataFrame, field: str) -> Column:
     if field not in df.columns:
         return F.lit("")
-    kind = df.schema[field].dataType.typeName()
     value = F.col(field)
-    if kind == "boolean":
+    if df.schema[field].dataType.typeName() == "boolean":
         text = F.when(value, "True").when(~value, "False")
     else:
         text = value.cast("string")
@@ -61,10 +64,18 @@ def _value_text(df: DataFrame, field: str) -> Column:
 def content_hash(df: DataFrame, fields: Sequence[str]) -> Column:
     """MD5 over the named fields as one JSON object with sorted keys.
 
-    Only these fields count: keys, audit text and change time do not.
+    Only these fields count: keys, audit text and change time do not.  A row is escaped
+    only if one of its values holds a character that JSON does not take as it is.
     """
-    parts: list[Column] = []
-    for position, field in enumerate(sorted(fields)):
-        lead = "{" if position == 0 else ", "
-        parts += [F.lit(f'{lead}"{field}": '), json_string(_value_text(df, field))]
-    return F.md5(F.concat(*parts, F.lit("}")))
+    names = sorted(fields)
+    values = [_value_text(df, f) for f in names]
+    leads = ["{" + f'"{names[0]}": "'] + [f'", "{f}": "' for f in names[1:]]
+
+    def document(bodies: list[Column]) -> Column:
+        pairs = [part for lead, body in zip(leads, bodies) for part in (F.lit(lead), body)]
+        return F.concat(*pairs, F.lit('"}'))
+
+    needs_escape = F.concat(*values).rlike(NEEDS_ESCAPE)
+    return F.md5(
+        F.when(needs_escape, document([json_body(v) for v in values])).otherwise(document(values))
+    )

@@ -36,6 +36,7 @@ def unique_lookup(
     frequency: DataFrame | None = None,
     small: bool | None = None,
     hot_keys: int = HOT_KEYS,
+    left_is_unique: bool = False,
 ) -> DataFrame:
     """Left join to ``right``, which holds each key once, whatever the key skew of ``left``.
 
@@ -46,13 +47,16 @@ def unique_lookup(
     meeting in the one partition their key hashes to.
 
     ``frequency`` may pass known row counts (keys plus ``n``) of ``left``; ``small`` the
-    outcome of a size check already made on ``right``.
+    outcome of a size check already made on ``right``.  With ``left_is_unique`` no key of
+    ``left`` repeats, so there is nothing hot to set apart.
     """
     keys = list(keys)
     if small is None:
         small = at_most(right, BROADCAST_ROWS)
     if small:
         return left.join(F.broadcast(right), keys, "left")
+    if left_is_unique:
+        return left.join(right, keys, "left")
 
     values = [c for c in right.columns if c not in keys]
     counts = key_counts(left, keys) if frequency is None else frequency

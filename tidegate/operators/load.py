@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidegate.runtime import materialize
+from tidegate.operators.keys import unique_lookup
+from tidegate.runtime import BROADCAST_ROWS, at_most, materialize
 from tidegate.schemas import FAILED, LOADED, NOT_PROCESSED, SKIPPED
 
 EXISTED = "Already in the target, not created again"
@@ -94,28 +95,30 @@ def attempt_numbers(valid: DataFrame, log: DataFrame, entity: str) -> DataFrame:
 
 def plan_load(
     valid: DataFrame,
-    log: DataFrame,
-    target: DataFrame,
-    entity: str,
-    ref: str,
+    history: DataFrame,
+    existing: DataFrame,
     rejections: DataFrame | None = None,
 ) -> DataFrame:
     """Outcome of every valid row, without side effects.
 
+    ``history`` comes from ``log_history`` and ``existing`` from ``target_ids``; both hold
+    an entity id once, and so does ``valid``.  Stored tables are best for both, since
+    their size decides whether the wide rows have to be shuffled at all.
+
     ``rejections`` (``entity_id``, ``error``) names rows the target would refuse.  The
     first refused row that reaches the create step fails, and later rows are not
-    processed.  That row is found by an aggregate, not by an ordered scan, so the batch
-    stays distributed.
-
-    Both lookup sides are aggregated to one row per entity id and ``valid`` has unique,
-    non-null keys, so all joins share one hash partitioning by entity id without skew.
+    processed.  That row is found by an aggregate over the refused rows, not by an
+    ordered scan, so the batch stays distributed.
     """
-    history = log_history(log, entity)
-    rows = (
-        with_entity_id(valid)
-        .join(history, "entity_id", "left")
-        .join(target_ids(target, ref), "entity_id", "left")
-    )
+    history_small = at_most(history, BROADCAST_ROWS)
+    existing_small = at_most(existing, BROADCAST_ROWS)
+
+    def with_state(rows: DataFrame) -> DataFrame:
+        known = unique_lookup(rows, history, ["entity_id"], small=history_small, left_is_unique=True)
+        return unique_lookup(known, existing, ["entity_id"], small=existing_small, left_is_unique=True)
+
+    keyed = with_entity_id(valid)
+    rows = with_state(keyed)
     was_loaded = F.coalesce("was_loaded", F.lit(False))
     exists = F.col("existing_id").isNotNull()
     place = F.struct(*ORDER)
@@ -125,14 +128,16 @@ def plan_load(
         error = F.lit(None).cast("string")
     else:
         reasons = rejections.groupBy("entity_id").agg(F.min("error").alias("_error"))
-        rows = rows.join(reasons, "entity_id", "left")
-        reached = rows.where(~was_loaded & ~exists & F.col("_error").isNotNull())
-        first = reached.agg(F.min(place)).scalar()
+        narrow = keyed.select("entity_id", *ORDER).join(reasons, "entity_id")
+        first = with_state(narrow).where(~was_loaded & ~exists).agg(F.min(
+            F.struct(*ORDER, "_error")
+        )).scalar()
         rows = rows.select("*", first.alias("_first"))
+        stop = F.struct(*[F.col("_first")[c].alias(c) for c in ORDER])
         found = F.col("_first").isNotNull()
-        stopped = found & (place > F.col("_first"))
-        refused = found & (place == F.col("_first"))
-        error = F.col("_error")
+        stopped = found & (place > stop)
+        refused = found & (place == stop)
+        error = F.col("_first")["_error"]
 
     status = (
         F.when(was_loaded, SKIPPED)
@@ -249,7 +254,6 @@ def resolve_parents(customers: DataFrame, ids: DataFrame) -> DataFrame:
     the rows, so the join goes through the skew-safe lookup.
     """
     from tidegate.functions import parse_long
-    from tidegate.operators.keys import unique_lookup
 
     keyed = customers.select("*", parse_long(F.col("parent_key")).cast("string").alias("_parent"))
     side = ids.select(

@@ -108,9 +108,8 @@ def load_batch(
     log = store.load_log()
     target = store.target(flow.entity, flow.target_schema)
     history = materialize(load.log_history(log, flow.entity), "history")
-    planned = materialize(
-        load.plan_load(valid, log, target, flow.entity, flow.ref, rejections), "plan"
-    )
+    existing = materialize(load.target_ids(target, flow.ref), "existing")
+    planned = materialize(load.plan_load(valid, history, existing, rejections), "plan")
     created = load.assign_target_ids(planned, target)
     outcomes = materialize(planned.where(~F.col("created")).unionByName(created), "outcomes")
 
@@ -137,9 +136,7 @@ def load_batch(
         known = outcomes.where(~F.col("created") & F.col("status").isin(S.SKIPPED, S.LOADED))
         hashed = known.select("*", content_hash(known, flow.hash_fields).alias("content_hash"))
         decided = conflict.decide(
-            conflict.conflict_inputs(
-                hashed, load.target_ids(target, flow.ref), store.last_hashes(flow.entity)
-            ),
+            conflict.conflict_inputs(hashed, existing, store.last_hashes(flow.entity)),
             on_existing,
         )
         updates = materialize(
