@@ -61,7 +61,8 @@ def unique_lookup(
     values = [c for c in right.columns if c not in keys]
     counts = key_counts(left, keys) if frequency is None else frequency
     hot = counts.orderBy(F.desc("n")).limit(hot_keys).select(*keys)
-    hot_rows = hot.join(right, keys, "left").select(
+    hot_right = right.join(F.broadcast(hot), keys, "left_semi")
+    hot_rows = hot.join(F.broadcast(hot_right), keys, "left").select(
         *keys, F.struct(*values).alias("_hot"), F.lit(True).alias("_is_hot")
     )
     staged = left.join(F.broadcast(hot_rows), keys, "left")
@@ -70,13 +71,14 @@ def unique_lookup(
     staged = staged.select(
         "*",
         *[F.when(cold, F.col(k)).alias(f"_cold_{k}") for k in keys],
-        # Stable for a given row when a task is retried, unlike a random number.
-        F.when(cold, F.lit(0)).otherwise(F.spark_partition_id() + 1).alias("_spread"),
+        # The map task's number is the same when the task is retried, unlike a random one.
+        # A constant on the other side would be folded out of the join keys, hence a hash.
+        F.when(cold, F.xxhash64(*keys)).otherwise(F.spark_partition_id()).alias("_spread"),
     )
     cold_right = right.select(
         *[F.col(k).alias(f"_cold_{k}") for k in keys],
         F.struct(*values).alias("_found"),
-        F.lit(0).alias("_spread"),
+        F.xxhash64(*keys).alias("_spread"),
     )
     joined = staged.join(cold_right, [*[f"_cold_{k}" for k in keys], "_spread"], "left")
     answer = F.coalesce("_hot", "_found")

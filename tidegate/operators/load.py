@@ -6,11 +6,14 @@ by an earlier rejection, then already in the target, then create (or rejection).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidegate.functions import parse_long
 from tidegate.operators.keys import unique_lookup
-from tidegate.runtime import BROADCAST_ROWS, at_most, materialize
+from tidegate.operators.numbering import number_rows
+from tidegate.operators.units import resolve_units
+from tidegate.runtime import BROADCAST_ROWS, at_most
 from tidegate.schemas import FAILED, LOADED, NOT_PROCESSED, SKIPPED
 
 EXISTED = "Already in the target, not created again"
@@ -93,6 +96,18 @@ def attempt_numbers(valid: DataFrame, log: DataFrame, entity: str) -> DataFrame:
     ).drop("attempts")
 
 
+def only_keys(state: DataFrame, keys: DataFrame, column: str = "entity_id") -> DataFrame:
+    """State rows of the batch's keys, when the batch is small enough to broadcast them.
+
+    An incremental batch is tiny next to log and target; this way neither is shuffled.
+    A large batch needs most of the state anyway and gets all of it.
+    """
+    wanted = keys.select(F.col("entity_id").alias(column))
+    if not at_most(wanted, BROADCAST_ROWS):
+        return state
+    return state.join(F.broadcast(wanted), column, "left_semi")
+
+
 def plan_load(
     valid: DataFrame,
     history: DataFrame,
@@ -160,26 +175,6 @@ def plan_load(
     )
 
 
-def number_rows(df: DataFrame, order: list[str], start: Column, name: str) -> DataFrame:
-    """Add consecutive numbers ``start + 1, start + 2, ...`` in the given order.
-
-    The rows are range-sorted and stored with their position inside the sort partition;
-    only the per-partition counts, one row per partition, are summed in a window.
-    """
-    ranked = df.orderBy(*[F.col(c).asc_nulls_first() for c in order])
-    stored = materialize(ranked.select("*", F.monotonically_increasing_id().alias("_row")), "sorted")
-    part = F.shiftright("_row", 33)
-    sizes = stored.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_size"))
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
-    position = F.col("_row").bitwiseAND(F.lit((1 << 33) - 1))
-    return (
-        stored.select("*", part.alias("_part"))
-        .join(F.broadcast(offsets), "_part")
-        .select(*df.columns, (start + F.col("_offset") + position + 1).alias(name))
-    )
-
-
 def assign_target_ids(outcomes: DataFrame, target: DataFrame) -> DataFrame:
     """Created rows with new target ids that continue the target's numbering."""
     base = target.agg(F.coalesce(F.max("id"), F.lit(0)).cast("bigint")).scalar()
@@ -238,8 +233,6 @@ def partner_payload(customers: DataFrame, fields: list[str]) -> DataFrame:
 
 def product_payload(items: DataFrame, units: DataFrame, fields: list[str]) -> DataFrame:
     """Target fields of a product plus ``default_code`` and the resolved unit id."""
-    from tidegate.operators.units import resolve_units
-
     return resolve_units(items, units).select(
         *fields,
         F.col("_source_key").cast("string").alias("default_code"),
@@ -253,8 +246,6 @@ def resolve_parents(customers: DataFrame, ids: DataFrame) -> DataFrame:
     ``ids`` holds (entity_id, target_id) once per entity.  A parent may own any share of
     the rows, so the join goes through the skew-safe lookup.
     """
-    from tidegate.functions import parse_long
-
     keyed = customers.select("*", parse_long(F.col("parent_key")).cast("string").alias("_parent"))
     side = ids.select(
         F.col("entity_id").alias("_parent"), F.col("target_id").alias("parent_target_id")

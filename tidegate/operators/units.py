@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidegate.functions import code_text, strip
 from tidegate.operators.keys import unique_lookup
+from tidegate.operators.numbering import number_rows
 from tidegate.runtime import BROADCAST_ROWS, at_most
 from tidegate.schemas import UNIT_MAPPING_COLUMNS
 
@@ -62,18 +63,16 @@ def build_dimension(mapping: DataFrame, target: DataFrame) -> DataFrame:
 
 
 def offline_target_units(mapping: DataFrame, position: str) -> DataFrame:
-    """Stand-in target units: distinct mapped names numbered by first appearance.
-
-    Only the distinct names reach the numbering window; they are one row per unit of
-    measure, not per record.
-    """
+    """Stand-in target units: distinct mapped names numbered by first appearance."""
     names = (
-        mapping.select(strip(F.coalesce("target_name", F.lit(""))).alias("name"), F.col(position).alias("_pos"))
+        mapping.select(
+            strip(F.coalesce("target_name", F.lit(""))).alias("name"), F.col(position).alias("_pos")
+        )
         .groupBy("name")
         .agg(F.min("_pos").alias("_first"))
     )
-    number = F.row_number().over(Window.orderBy("_first", "name"))
-    return names.select(number.cast("bigint").alias("id"), "name")
+    numbered = number_rows(names, ["_first", "name"], F.lit(0), "id")
+    return numbered.select(F.col("id").cast("bigint"), "name")
 
 
 def known_codes(units: DataFrame) -> DataFrame:

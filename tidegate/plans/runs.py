@@ -105,10 +105,13 @@ def load_batch(
     """
     moment = run_moment(run_at)
     version = F.unix_micros(moment)
-    log = store.load_log()
+    keys = load.with_entity_id(valid).select("entity_id")
+    log = load.only_keys(store.load_log(), keys)
     target = store.target(flow.entity, flow.target_schema)
     history = materialize(load.log_history(log, flow.entity), "history")
-    existing = materialize(load.target_ids(target, flow.ref), "existing")
+    existing = materialize(
+        load.target_ids(load.only_keys(target, keys, flow.ref), flow.ref), "existing"
+    )
     planned = materialize(load.plan_load(valid, history, existing, rejections), "plan")
     created = load.assign_target_ids(planned, target)
     outcomes = materialize(planned.where(~F.col("created")).unionByName(created), "outcomes")
@@ -136,7 +139,9 @@ def load_batch(
         known = outcomes.where(~F.col("created") & F.col("status").isin(S.SKIPPED, S.LOADED))
         hashed = known.select("*", content_hash(known, flow.hash_fields).alias("content_hash"))
         decided = conflict.decide(
-            conflict.conflict_inputs(hashed, existing, store.last_hashes(flow.entity)),
+            conflict.conflict_inputs(
+                hashed, existing, load.only_keys(store.last_hashes(flow.entity), keys)
+            ),
             on_existing,
         )
         updates = materialize(
