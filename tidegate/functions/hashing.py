@@ -71,11 +71,11 @@ def content_hash(df: DataFrame, fields: Sequence[str]) -> Column:
     values = [_value_text(df, f) for f in names]
     leads = ["{" + f'"{names[0]}": "'] + [f'", "{f}": "' for f in names[1:]]
 
-    def document(bodies: list[Column]) -> Column:
-        pairs = [part for lead, body in zip(leads, bodies) for part in (F.lit(lead), body)]
-        return F.concat(*pairs, F.lit('"}'))
-
-    needs_escape = F.concat(*values).rlike(NEEDS_ESCAPE)
-    return F.md5(
-        F.when(needs_escape, document([json_body(v) for v in values])).otherwise(document(values))
+    plain = F.concat(*[part for lead, v in zip(leads, values) for part in (F.lit(lead), v)])
+    # One array expression keeps the rarely used branch out of the generated code.
+    lead_texts = F.array(*[F.lit(lead) for lead in leads])
+    escaped = F.array_join(
+        F.transform(F.array(*values), lambda v, i: F.concat(lead_texts[i], json_body(v))), ""
     )
+    document = F.when(F.concat(*values).rlike(NEEDS_ESCAPE), escaped).otherwise(plain)
+    return F.md5(F.concat(document, F.lit('"}')))

@@ -114,7 +114,7 @@ def load_batch(
     )
     planned = materialize(load.plan_load(valid, history, existing, rejections), "plan")
     created = load.assign_target_ids(planned, target)
-    outcomes = materialize(planned.where(~F.col("created")).unionByName(created), "outcomes")
+    outcomes = planned.where(~F.col("created")).unionByName(created)
 
     fields = [f.name for f in flow.target_schema if f.name not in ("id", "version")]
 
