@@ -16,6 +16,17 @@ BROADCAST_ROWS = 200_000
 # less than 1/HOT_KEYS of the rows, so an ordinary hash partition can carry it.
 HOT_KEYS = 1_000
 
+# Session settings that suit these plans; pass them to the session builder.
+SESSION_SETTINGS = {
+    # Wide projections of text functions exceed what the JVM compiles as one method;
+    # beyond this size Spark evaluates them as several methods, about twice as fast.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+    # Recording the Python line of every column call makes building plans much slower.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.session.timeZone": "UTC",
+}
+
 _local_dirs: dict[str, str] = {}
 
 
