@@ -652,7 +652,8 @@ def item_load_outcomes(t: Tables) -> DataFrame:
 
 @query(oracle("SELECT entity_id, name, new_id AS target_id FROM {customer_created}"))
 def load_apply_created(t: Tables) -> DataFrame:
-    planned = outcomes(t, refused=False)
+    # Sorting by range samples its input first, so the plan is stored before.
+    planned = materialize(outcomes(t, refused=False), "plan")
     return load.assign_target_ids(planned, t("target_partner")).select(
         "entity_id", "name", "target_id"
     )
