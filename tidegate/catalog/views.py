@@ -157,7 +157,7 @@ VIEWS: dict[str, str] = {
         SELECT cast(c_custkey AS string) AS entity_id,
                'refused ' || cast(c_custkey AS string) AS error
         FROM {customer}
-        WHERE c_custkey % 300 >= 200 AND c_custkey % 7 = 3 AND c_custkey % 73 <> 9
+        WHERE c_custkey % 300 >= 100 AND c_custkey % 7 = 3 AND c_custkey % 73 <> 9
           AND c_custkey % 79 <> 10 AND c_custkey % 103 <> 11 AND c_custkey % 107 <> 12
           AND c_custkey % 109 <> 13
     """,
