@@ -34,6 +34,8 @@ def lower_ascii(text: Column) -> Column:
 def unique_keys(df: DataFrame, id_col: str, text: Column) -> tuple[DataFrame, DataFrame | None]:
     """(key, text) with one row per key, and what leads from rows back to keys.
 
+    ``text`` may be a column of another type that has a string form.
+
     Where every id is there once, the key is the id and the second value is None.  Otherwise
     rows equal in id and text are one document, and the keys number the distinct
     (id, digest of the text) in that order, nulls first; the second value has one row
@@ -44,7 +46,7 @@ def unique_keys(df: DataFrame, id_col: str, text: Column) -> tuple[DataFrame, Da
     if odd.isEmpty():
         return df.select(F.col(id_col).cast("long").alias("key"), text.alias("text")), None
     rows = df.select(F.col(id_col).cast("long").alias("id"), text.alias("text")).withColumn(
-        "digest", F.sha2("text", 256))
+        "digest", F.coalesce(F.sha2(F.col("text").cast("string"), 256), F.lit("")))
     numbered = materialize(number_rows(
         rows.select("id", "digest").distinct(), ["id", "digest"], F.lit(-1), "key"), "keys")
     same = rows["id"].eqNullSafe(numbered["id"]) & (rows["digest"] == numbered["digest"])

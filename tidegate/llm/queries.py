@@ -4,10 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidegate.llm.common import read_table, small_batches
+from tidegate.llm.decontaminate import contained_items
+from tidegate.llm.html_extract import extract
+from tidegate.llm.licenses import licenses
+from tidegate.llm.mixing import mix
+from tidegate.llm.near_vectors import near_vectors
+from tidegate.llm.ngram_join import similar_documents
+from tidegate.llm.secret_scan import scan
 from tidegate.llm.suffix_dedup import suffix_dedup
+from tidegate.llm.token_counts import token_counts
+from tidegate.llm.toxicity import toxicity, train
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 LLM_ORACLES: dict[str, str] = {}
@@ -30,3 +41,50 @@ def query(sql: str | None = None) -> Callable:
 @query()
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup(read_table(spark, sf_dir, "documents"))
+
+
+@query()
+def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(read_table(spark, sf_dir, "documents"))
+
+
+@query()
+def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar_documents(read_table(spark, sf_dir, "documents"), words=3, similarity=90)
+
+
+@query()
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contained_items(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+@query()
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses(read_table(spark, sf_dir, "documents"))
+
+
+@query()
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query()
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    model = train(docs, read_table(spark, sf_dir, "labels"))
+    return toxicity(docs, model).withColumn("n_offending", F.size("offending")).drop("offending")
+
+
+@query()
+def op8_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(read_table(spark, sf_dir, "embeddings"))
+
+
+@query()
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan(read_table(spark, sf_dir, "documents")).drop("found")
+
+
+@query()
+def op10_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(read_table(spark, sf_dir, "pages"))
