@@ -104,6 +104,21 @@ def _search(sent):
     return run
 
 
+def _indexes(items: DataFrame, threshold: float, words: int, item_col: str, item_text_col: str, block: int):
+    """Broadcast indexes of blocks of items, of about ``block`` hashes each."""
+    spark = items.sparkSession
+    named = items.select(F.col(item_col).cast("long").alias("item"), text_or_empty(item_text_col).alias("text"))
+    sets = materialize(
+        named.mapInPandas(_item_sets(words), "item long, words int, n long, hashes binary"), "items")
+    total = sets.agg(F.sum("n")).first()[0] or 0
+    blocks = max(1, -(-total // block))
+    sets = sets.withColumn("block", F.pmod(F.xxhash64("item", "hashes"), F.lit(blocks)))
+    for b in range(blocks if total else 0):
+        held = [tuple(r) for r in sets.where(F.col("block") == b).select("item", "words", "n", "hashes").collect()]
+        if held:
+            yield spark.sparkContext.broadcast(Index(held, threshold))
+
+
 def contained_items(
     docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, words: int = WORDS,
     id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text",
@@ -120,21 +135,37 @@ def contained_items(
     each), so what is broadcast does not grow with the benchmark; more items, more passes.
     """
     spark = docs.sparkSession
-    named = items.select(F.col(item_col).cast("long").alias("item"), text_or_empty(item_text_col).alias("text"))
-    sets = materialize(
-        named.mapInPandas(_item_sets(words), "item long, words int, n long, hashes binary"), "items")
-    total = sets.agg(F.sum("n")).first()[0] or 0
-    blocks = max(1, -(-total // block))
-    sets = sets.withColumn("block", F.pmod(F.xxhash64("item", "hashes"), F.lit(blocks)))
     rows = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
     schema = f"id {rows.schema['id'].dataType.simpleString()}, item long, n_shared long, n_item long"
     found = spark.createDataFrame([], schema)
-    for b in range(blocks if total else 0):
-        held = [tuple(r) for r in sets.where(F.col("block") == b).select("item", "words", "n", "hashes").collect()]
-        if held:
-            sent = spark.sparkContext.broadcast(Index(held, threshold))  # about ``block`` hashes
-            found = found.unionAll(rows.mapInPandas(_search(sent), schema))
+    for sent in _indexes(items, threshold, words, item_col, item_text_col, block):
+        found = found.unionAll(rows.mapInPandas(_search(sent), schema))
     return found.select(
         F.col("id").alias(id_col), F.col("item").alias(item_col), "n_shared", "n_item",
         (F.col("n_shared") / F.col("n_item")).alias("containment"),
     )
+
+
+def _clear(sent, text_col: str):
+    def run(batches):
+        index = sent.value
+        for batch in batches:
+            texts = [(t or "").encode() for t in batch[text_col]]
+            keep = np.ones(len(texts), dtype=bool)
+            for part in grouped(texts):
+                hashes, at = word_hashes(texts[part], PUNCTUATION)
+                keep[[part.start + d for d, _, _ in index.found(hashes, at, part.stop - part.start)]] = False
+            yield batch[keep]
+
+    return run
+
+
+def without_items(
+    docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, words: int = WORDS, text_col: str = "text",
+    item_col: str = "item_id", item_text_col: str = "text", block: int = BLOCK,
+) -> DataFrame:
+    """The rows, with all their columns, that contain no item as ``contained_items`` finds them."""
+    kept = docs
+    for sent in _indexes(items, threshold, words, item_col, item_text_col, block):
+        kept = kept.mapInPandas(_clear(sent, text_col), docs.schema)
+    return kept

@@ -263,3 +263,23 @@ def similar_documents(
     names = rows.distinct().select(F.col("key").alias("component"), F.col("id").alias("component_id"))
     return rows.join(result, "key").join(names, "component").select(
         F.col("id").alias(id_col), "n_shingles", "component_id")
+
+
+def one_of_each(
+    df: DataFrame, words: int = WORDS, similarity: int = SIMILARITY, id_col: str = "doc_id", text_col: str = "text",
+) -> DataFrame:
+    """The rows, with all their columns, of the smallest id of each connected group.
+
+    Rows equal in id and text are one document, of which one row stays.
+    """
+    numbered, rows = unique_keys(df, id_col, text_or_empty(text_col))
+    if rows is None:
+        found = similar_documents(df, words, similarity, id_col, text_col)
+        kept = found.where(F.col(id_col) == F.col("component_id")).select(id_col)
+        return df.join(kept, id_col, "left_semi").select(df.columns)
+    kept = similar_documents(numbered, words, similarity, "key", "text").where("key = component_id")
+    chosen = numbered.join(kept.select("key"), "key", "left_semi").join(rows.distinct(), "key").select(
+        F.col("id").alias("_id"), F.sha2("text", 256).alias("_digest"))
+    marked = df.withColumn("_digest", F.sha2(text_or_empty(text_col), 256))
+    same = marked[id_col].cast("long").eqNullSafe(chosen["_id"]) & (marked["_digest"] == chosen["_digest"])
+    return marked.join(chosen, same, "left_semi").dropDuplicates([id_col, "_digest"]).select(df.columns)

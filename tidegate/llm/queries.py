@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -88,3 +89,8 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op10_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(read_table(spark, sf_dir, "pages"))
+
+
+LLM_QUERIES["pipeline"] = corpus_pipeline.run
+if corpus_pipeline.ORACLE_SQL is not None:
+    LLM_ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL

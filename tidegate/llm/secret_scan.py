@@ -104,6 +104,37 @@ def _ratio(value: Column, table: Column) -> Column:
     return total / (F.length(value) - 1)
 
 
+def _long(text: Column) -> Column:
+    return F.when(text.rlike(CANDIDATE), _located(text, CANDIDATE, 3)).otherwise(F.array().cast(f"array<{SPAN}>"))
+
+
+def _table(values: DataFrame, texts: DataFrame, sample: int, n: int) -> Column | None:
+    """The trained ratios by pair as one array, or None where no base value is found.
+
+    ``values`` has an array of base values, ``texts`` the whole texts of ``n`` rows.
+    """
+    random = values.select(F.explode("value").alias("value")).groupBy("value").agg(F.count("*").cast("double").alias("times"))
+    if random.isEmpty():
+        return None
+    share = min(1.0, sample / max(1, n))
+    chosen = texts.where(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < int(share * 1_000_000))
+    words = chosen.select(F.explode(F.regexp_extract_all("text", F.lit(WORD), F.lit(0))).alias("value"))
+    words = words.groupBy("value").agg(F.count("*").cast("double").alias("times"))
+    # What a base pattern may find is no ordinary string.
+    odd = F.col("value").rlike(f"{ACCESS}|{HEX}") | F.col("value").rlike("[0-9]") & (F.length("value") >= VALUE_LENGTH)
+    found = ratios(random, words.where(~odd))
+    return F.split(F.lit(",".join(f"{r:.6g}" for r in found)), ",").cast("array<double>")
+
+
+def _with_random(base: Column, long: Column, table: Column | None, min_ratio: float) -> Column:
+    """Base spans and the long strings apart from them that the models call random."""
+    if table is None:
+        return base
+    added = F.filter(long, lambda c: ~F.exists(
+        base, lambda b: (b["start"] < c["stop"]) & (c["start"] < b["stop"])) & (_ratio(c["value"], table) >= min_ratio))
+    return F.when(F.size(long) > 0, F.array_sort(F.concat(base, added))).otherwise(base)
+
+
 def scan(
     df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_ratio: float = MIN_RATIO,
     sample: int = SAMPLE,
@@ -119,28 +150,11 @@ def scan(
     Null and empty texts have no span and the digest of ''.  Where no base value is found there is
     nothing to learn from, and no span is added.  One row for each input row, whatever its id.
     """
-    spark = df.sparkSession
     text = F.col("text")
     rows = df.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
-    long = F.when(text.rlike(CANDIDATE), _located(text, CANDIDATE, 3)).otherwise(F.array().cast(f"array<{SPAN}>"))
-    found = rows.select("id", _base(text).alias("base"), long.alias("long"))
-    apart = F.filter("long", lambda c: ~F.exists(
-        F.col("base"), lambda b: (b["start"] < c["stop"]) & (c["start"] < b["stop"])))
-    found = materialize(found.select("id", "base", apart.alias("long")), "secrets")
-
-    random = found.select(F.explode("base.value").alias("value")).withColumn("times", F.lit(1.0))
-    share = min(1.0, sample / max(1, df.count()))
-    chosen = rows.where(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < int(share * 1_000_000))
-    words = chosen.select(F.explode(F.regexp_extract_all("text", F.lit(WORD), F.lit(0))).alias("value"))
-    words = words.groupBy("value").agg(F.count("*").cast("double").alias("times"))
-    # What a base pattern finds is no ordinary string.
-    plain = words.where(~F.col("value").rlike(f"{ACCESS}|{HEX}") & ~(F.col("value").rlike("[0-9]") & (F.length("value") >= VALUE_LENGTH)))
-    table = F.split(F.lit(",".join(f"{r:.6g}" for r in ratios(random, plain))), ",").cast("array<double>")
-    added = F.filter("long", lambda c: _ratio(c["value"], table) >= min_ratio)
-    if found.where(F.size("base") > 0).isEmpty():
-        added = F.filter("long", lambda c: F.lit(False))
-    whole = found.select("id", "base", F.array_sort(F.concat("base", F.when(F.size("long") > 0, added).otherwise(
-        F.array().cast(f"array<{SPAN}>")))).alias("found"))
+    found = materialize(rows.select("id", _base(text).alias("base"), _long(text).alias("long")), "secrets")
+    table = _table(found.select("base.value"), rows.select("text"), sample, df.count())
+    whole = found.select("id", "base", _with_random(F.col("base"), F.col("long"), table, min_ratio).alias("found"))
     count = [F.size(F.filter("base", _is_kind(k))).cast("long").alias(f"n_{KINDS[k]}") for k in range(3)]
     return whole.select(
         F.col("id").alias(id_col), *count, F.sha2(_listed(F.col("base")), 256).alias("base_sha256"),
@@ -159,3 +173,16 @@ def redacted(text: Column, found: Column, mask: str = "[secret]") -> Column:
 
     done = F.aggregate(found, first, step)
     return F.when(F.size(found) > 0, F.concat(done["out"], F.substring(text, done["at"] + 1, F.length(text)))).otherwise(text)
+
+
+def redact(
+    df: DataFrame, text_col: str = "text", min_ratio: float = MIN_RATIO, sample: int = SAMPLE, mask: str = "[secret]",
+) -> DataFrame:
+    """The rows, with all their columns, and each secret that ``scan`` finds in the text masked."""
+    texts = df.select(text_or_empty(text_col).alias("text"))
+    values = materialize(texts.select(_base(F.col("text"))["value"].alias("value")).where(F.size("value") > 0), "values")
+    table = _table(values, texts, sample, df.count())
+    text = F.col(text_col)
+    spans = _with_random(_base(text), _long(text), table, min_ratio)
+    some = text.rlike(f"{ASSIGN}|{ACCESS}|{HEX}|{CANDIDATE}")
+    return df.withColumn(text_col, F.when(some, redacted(text, spans, mask)).otherwise(text))

@@ -201,3 +201,18 @@ def toxicity(
         F.col("id").alias(id_col), held_out("id").alias("held_out"), "score",
         (F.col("score") >= threshold).cast("int").alias("predicted"), "offending",
     )
+
+
+def _kept(model, threshold: float, text_col: str):
+    def run(batches):
+        score = model.value.scorer()
+        for batch in batches:
+            yield batch[[score(t or "")[0] < threshold for t in batch[text_col]]]
+
+    return run
+
+
+def without_toxic(docs: DataFrame, model: Model, threshold: float = THRESHOLD, text_col: str = "text") -> DataFrame:
+    """The rows, with all their columns, whose whole text scores below ``threshold``."""
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+    return docs.mapInPandas(_kept(sent, threshold, text_col), docs.schema)
