@@ -101,11 +101,13 @@ def _prefixes(sent, words: int, similarity: int):
                     order = np.lexsort((own, times))[: prefix_length(n, similarity)]
                     first = own[order]
                     bits = mixed(own)
-                    flips = np.bincount((bits % np.uint64(64 * SKETCH)).astype(np.int64), minlength=64 * SKETCH) & 1
-                    sketch = np.packbits(flips.astype(np.uint8)).view(np.int64)
-                    rows.append((key, n, int((times == 0).sum()), *_digests(first), first.view(np.int64), *sketch))
+                    size = 1 << max(64 * SKETCH - 1, n - 1).bit_length()
+                    flips = (np.bincount((bits % np.uint64(size)).astype(np.int64), minlength=size) & 1).astype(np.uint8)
+                    wide = np.packbits(flips)
+                    sketch = np.packbits(np.bitwise_xor.reduce(flips.reshape(-1, 64 * SKETCH))).view(np.int64)
+                    rows.append((key, n, int((times == 0).sum()), *_digests(first), first.view(np.int64), wide.tobytes(), *sketch))
                 yield pd.DataFrame(rows, columns=[
-                    "key", "n", "rare", "p1", "p2", "prefix", *(f"s{i}" for i in range(SKETCH))])
+                    "key", "n", "rare", "p1", "p2", "prefix", "wide", *(f"s{i}" for i in range(SKETCH))])
 
     return run
 
@@ -136,6 +138,26 @@ def _verified(words: int, similarity: int):
     return run
 
 
+def _near_wide(similarity: int):
+    """Pairs that sketches of about a bit for each shingle do not tell apart either.
+
+    The wider of two sketches is folded: a part's parity is that of its parts.
+    """
+
+    def run(batches):
+        for batch in batches:
+            keep = []
+            for total, x, y in zip(batch["total"], batch["wa"], batch["wb"], strict=True):
+                x, y = np.frombuffer(x, dtype=np.uint64), np.frombuffer(y, dtype=np.uint64)
+                size = min(len(x), len(y))
+                x, y = (np.bitwise_xor.reduce(v.reshape(-1, size)) for v in (x, y))
+                bits = int(np.bitwise_count(x ^ y).sum())
+                keep.append(bits * (100 + similarity) <= total * (100 - similarity))
+            yield batch.loc[np.array(keep, dtype=bool), ["a", "b"]]
+
+    return run
+
+
 def _sized(a: Column, b: Column, similarity: int) -> Column:
     return (100 * F.least(a, b)) >= (similarity * F.greatest(a, b))
 
@@ -183,7 +205,7 @@ def similar_documents(
     sketch = ", ".join(f"s{i} long" for i in range(SKETCH))
     prefixes = docs.mapInPandas(
         _prefixes(sent, words, similarity),
-        f"key long, n long, rare long, p1 long, p2 long, prefix array<long>, {sketch}")
+        f"key long, n long, rare long, p1 long, p2 long, prefix array<long>, wide binary, {sketch}")
     # Sets this small are similar only if equal, and equal sets are one class.
     least = next(n for n in range(1, 10_000) if 100 * n >= similarity * (n + 1))
     prefixes = prefixes.where(F.col("n") >= least).join(
@@ -194,7 +216,7 @@ def similar_documents(
     groups = members.groupBy("n", "p1", "p2").agg(
         F.min(F.struct("rare", "key")).alias("pivot"), F.count("*").alias("size"), F.min("key").alias("group"))
     of_group = materialize(
-        members.drop("prefix").join(groups, ["n", "p1", "p2"]).withColumn("pivot_rare", F.col("pivot.rare"))
+        members.drop("prefix", "wide").join(groups, ["n", "p1", "p2"]).withColumn("pivot_rare", F.col("pivot.rare"))
         .withColumn("pivot", F.col("pivot.key")).drop("p1", "p2"), "groups")
     tokens = members.select("key", F.explode("prefix").alias("token")).join(
         of_group.where("key = group").select("key", "n", "pivot", "pivot_rare"), "key")
@@ -252,7 +274,12 @@ def similar_documents(
     expanded = expanded.where(
         (F.col("a_component") != F.col("b_component")) & _near("a_", "b_", similarity)
         & ((F.col("a_group") != F.col("b_group")) | (F.col("a_key") < F.col("b_key"))))
-    more = expanded.select(F.col("a_key").alias("a"), F.col("b_key").alias("b")).join(pairs, ["a", "b"], "left_anti")
+    more = expanded.select(F.col("a_key").alias("a"), F.col("b_key").alias("b"), (F.col("a_n") + F.col("b_n")).alias("total"))
+    wide = members.select("key", "wide")
+    more = more.join(wide.select(F.col("key").alias("a"), F.col("wide").alias("wa")), "a").join(
+        wide.select(F.col("key").alias("b"), F.col("wide").alias("wb")), "b")
+    more = more.select("a", "b", "total", "wa", "wb").mapInPandas(_near_wide(similarity), "a long, b long")
+    more = more.join(pairs, ["a", "b"], "left_anti")
     more = verified(materialize(more, "pairs"))
 
     nodes = components(links.unionAll(more)).withColumnRenamed("node", "class")
