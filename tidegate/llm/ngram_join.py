@@ -24,9 +24,9 @@ from tidegate.llm.word_kernels import SPACES, by_text, grouped, shingles, word_h
 
 WORDS = 5
 SIMILARITY = 80  # per cent
-FREQUENT = 2_000  # a shingle in more than one of so many documents is frequent
-MOST_FREQUENT = 200_000  # entries of the table of frequent shingles; it only sets an order
+MOST_FREQUENT = 100_000  # entries of the table of frequent shingles; it only sets an order
 COUNTED = 4_000_000  # shingles that are counted together in a task
+SEEN = 3  # a shingle found so often among them goes to that table
 SKETCH = 8  # 64-bit words
 
 
@@ -51,28 +51,35 @@ def _digests(found: np.ndarray) -> tuple[int, int]:
     return int(a.view(np.int64)), int(b.view(np.int64))
 
 
+def _often(held: list[np.ndarray]) -> list[dict]:
+    values, counts = np.unique(np.concatenate(held), return_counts=True)
+    many = counts >= SEEN
+    return [
+        {"shingle": h, "n": c} for h, c in zip(values[many].view(np.int64).tolist(), counts[many].tolist(), strict=True)]
+
+
 def _profiles(words: int):
-    """(key, n, d1, d2) of each text; a row now and then carries shingles found in three texts."""
+    """(key, n, d1, d2) of each text, and rows with n = -1 that carry shingles of several texts."""
 
     def run(batches):
+        columns = ["key", "n", "d1", "d2", "often"]
+        held, size = [], 0
         for batch in batches:
             texts = [t.encode() for t in batch["text"]]
-            rows, held = [], []
+            rows = []
             for part in grouped(texts):
                 sets = shingle_sets(texts[part], words)
                 held += sets
-                rows += [(len(s), *_digests(s)) for s in sets]
-            out = pd.DataFrame(rows, columns=["n", "d1", "d2"])
+                size += sum(map(len, sets))
+                rows += [(len(s), *_digests(s), []) for s in sets]
+                if size > COUNTED:
+                    yield pd.DataFrame([(0, -1, 0, 0, _often(held))], columns=columns)
+                    held, size = [], 0
+            out = pd.DataFrame(rows, columns=columns[1:])
             out.insert(0, "key", batch["key"].to_numpy())
-            often = [[] for _ in rows]
-            values, counts = np.unique(np.concatenate(held), return_counts=True) if held else (np.zeros(0), np.zeros(0))
-            many = counts >= 3
-            if many.any():
-                often[0] = [
-                    {"shingle": h, "n": c}
-                    for h, c in zip(values[many].view(np.int64).tolist(), counts[many].tolist(), strict=True)]
-            out["often"] = often
             yield out
+        if held:
+            yield pd.DataFrame([(0, -1, 0, 0, _often(held))], columns=columns)
 
     return run
 
@@ -198,7 +205,8 @@ def similar_documents(
     classes = materialize(
         profiles.where("n > 0").groupBy("n", "d1", "d2").agg(F.min("key").alias("class")), "classes")
     often = profiles.select(F.explode("often").alias("x")).groupBy(F.col("x.shingle").alias("shingle")).agg(
-        F.sum("x.n").alias("n")).where(F.col("n") * FREQUENT >= profiles.count())
+        F.sum("x.n").alias("n"))
+    profiles = profiles.where("n >= 0").drop("often")
     often = sorted((r["shingle"] % 2**64, r["n"]) for r in often.orderBy(F.desc("n"), "shingle").limit(MOST_FREQUENT).collect())
     sent = spark.sparkContext.broadcast(  # 16 bytes an entry, MOST_FREQUENT entries at most
         (np.array([x for x, _ in often], dtype=np.uint64), np.array([n for _, n in often], dtype=np.int64)))
