@@ -30,6 +30,7 @@ _SPACE = re.compile(r"\s+")
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style noscript template textarea title iframe svg math object select button canvas".split())
 OPAQUE = frozenset("script style textarea title iframe".split())
+HIDDEN = frozenset("script style template noscript".split())  # part of no block
 INLINE = frozenset(
     "a abbr b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span "
     "strike strong sub sup time tt u var wbr".split())
@@ -150,6 +151,8 @@ def outline(page: str) -> tuple[list[int], list]:
         elif not entering:
             flush()
             around.pop()
+        elif node.tag in HIDDEN:
+            continue
         elif node.tag in ("br", "wbr", "img"):
             text.append(" ")
         elif node.tag in INLINE and not node.apart:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from array import array
 from dataclasses import dataclass
 
 import numpy as np
@@ -13,9 +14,9 @@ from pyspark.sql import functions as F
 from tidegate.llm.common import text_or_empty
 
 THRESHOLD = 0.7
-MAX_TOXIC = 2_500  # labelled documents of each class that a fit reads at most
-MAX_CLEAN = 5_000
-MAX_BYTES = 64 << 20  # of their texts together
+MAX_TOXIC = 1_200  # labelled documents of each class that a fit reads at most
+MAX_CLEAN = 2_400
+MAX_BYTES = 16 << 20  # of their texts together
 EPOCHS = 200
 PREFIXES = (3, 4, 5, 6, 7)
 L2 = 1e-5
@@ -82,7 +83,7 @@ class Model:
 def fit(texts: list[str], labels: list[int], epochs: int = EPOCHS, l2: float = L2) -> Model:
     """Learn sentence scores whose noisy-or explains the document labels."""
     words: dict[str, int] = {}
-    token_word, sentence_start, sentence_doc = [], [], []
+    token_word, sentence_start, sentence_doc = array("i"), array("i"), array("i")
     for d, text in enumerate(texts):
         for m in _SENTENCE.finditer(text):
             own = set(_WORD.findall(m[0].lower()))
@@ -92,20 +93,25 @@ def fit(texts: list[str], labels: list[int], epochs: int = EPOCHS, l2: float = L
                 token_word.extend(words.setdefault(w, len(words)) for w in own)
     if not sentence_start or len(set(labels)) < 2:
         return Model({}, -6.0)
-    token_word = np.array(token_word)
-    starts, doc = np.array(sentence_start), np.array(sentence_doc)
-    sentence = np.repeat(np.arange(len(starts)), np.diff(np.r_[starts, len(token_word)]))
+    token_word = np.asarray(token_word)
+    starts, doc = np.asarray(sentence_start), np.asarray(sentence_doc)
+    sentence = np.repeat(np.arange(len(starts), dtype=np.int32), np.diff(np.r_[starts, len(token_word)]))
     names: dict[str, int] = {}
     pairs = [(i, names.setdefault(f, len(names))) for w, i in words.items() for f in features(w)]
-    of_word, of_feature = np.array(pairs).T
-    # Documents that hold each feature.
-    word_doc = np.unique(token_word.astype(np.int64) * len(texts) + doc[sentence])
+    of_word, of_feature = np.array(pairs, dtype=np.int32).T
+    del pairs
+    # Documents that hold each feature, document by document.
     order = np.argsort(of_word, kind="stable")
+    sorted_features = of_feature[order]
     first = np.searchsorted(of_word[order], np.arange(len(words) + 1))
-    count = np.diff(first)[word_doc // len(texts)]
-    take = np.repeat(first[word_doc // len(texts)] - np.r_[0, np.cumsum(count)[:-1]], count) + np.arange(count.sum())
-    held = np.unique(of_feature[order][take].astype(np.int64) * len(texts) + np.repeat(word_doc % len(texts), count))
-    frequent = np.bincount(held // len(texts), minlength=len(names)) >= MIN_DOCUMENTS
+    documents = np.zeros(len(names), dtype=np.int32)
+    token_doc = doc[sentence]
+    cuts = np.searchsorted(token_doc, np.arange(len(texts) + 1))
+    for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+        own = np.unique(token_word[a:b])
+        if len(own):
+            documents[np.unique(np.concatenate([sorted_features[first[w] : first[w + 1]] for w in own]))] += 1
+    frequent = documents >= MIN_DOCUMENTS
     use = frequent[of_feature]
     of_word, of_feature = of_word[use], of_feature[use]
     y = np.array(labels, dtype=float)
