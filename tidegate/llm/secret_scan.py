@@ -26,7 +26,7 @@ WORD = "[A-Za-z][A-Za-z0-9_-]{7,}"
 LETTERS = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
 CLASSES = len(LETTERS) + 1  # one more for all other characters
 SAMPLE = 4_000  # documents, about, whose words train the ordinary model
-MIN_RATIO = 0.4  # log-likelihood ratio per pair of characters
+MIN_RATIO = 0.2  # log-likelihood ratio per pair of characters
 SPAN = "struct<start:int,stop:int,kind:int,value:string>"
 
 
