@@ -50,9 +50,9 @@ def test_parse_number(spark):
 
 
 def test_normalize_phone(spark):
-    given = [None, "", " - ", "+63 82 234 5678", "02-8525-4300", "09171234567\n", "(02) 1"]
+    given = [None, "", " - ", "+63 34 701 4412", "02-8525-4300", "09171234567\n", "(02) 1"]
     assert apply(spark, fn.normalize_phone, given) == [
-        None, None, None, "+63822345678", "0285254300", "09171234567", "(02)1"
+        None, None, None, "+63347014412", "0285254300", "09171234567", "(02)1"
     ]
 
 

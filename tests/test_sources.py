@@ -44,7 +44,7 @@ def test_preview_is_never_overwritten(spark, tmp_path):
     rows = customers(spark, {})
     path = write_preview(rows, str(tmp_path), "valid", "1", ["AN8", "ABSENT"])
     assert spark.read.option("header", True).csv(path).first().asDict() == {
-        "AN8": "1001", "ABSENT": None
+        "AN8": "4417", "ABSENT": None
     }
     with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
         write_preview(rows, str(tmp_path), "valid", "1", ["AN8"])
