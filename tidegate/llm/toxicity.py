@@ -22,6 +22,7 @@ PREFIXES = (3, 4, 5, 6, 7)
 L2 = 1e-5
 RATE = 0.2  # largest change of a weight in one step
 FLOOR = 1e-3
+CACHED = 100_000  # words whose value a task keeps; beyond that it starts anew
 MIN_DOCUMENTS = 3  # a feature is learned from that many training documents at least
 
 _SENTENCE = re.compile(r"[^.!?\n]+")
@@ -59,7 +60,7 @@ class Model:
         floor = 1 / (1 + np.exp(-bias))
 
         def score(text: str) -> tuple[float, list[tuple[int, int, float]]]:
-            if len(value) > 1_000_000:
+            if len(value) > CACHED:
                 value.clear()
             lower = text.lower()
             places = [m.span() for m in _SENTENCE.finditer(text)]
