@@ -100,6 +100,14 @@ def test_limit_between_change_times_advances(spark, store):
     assert run_sync(customer_flow(), raw, store, limit=2).watermark_after == (126001, 2)
 
 
+def test_limit_advances_past_rows_without_a_change_time(spark, store):
+    raw = people(spark, (1, "soon", 1), (2, "soon", 1), (3, 126001, 1), (4, 126001, 2))
+    flow = customer_flow()
+    assert run_sync(flow, raw, store, limit=2).watermark_after == (126001, 2)
+    assert run_sync(flow, raw, store, limit=2).records_loaded == 2
+    assert stored(store, flow).count() == 4
+
+
 def test_insert_only_keeps_the_target(spark, store):
     flow = customer_flow()
     run_sync(flow, people(spark, (1, 126001, 1)), store)
@@ -115,10 +123,17 @@ def test_on_existing(spark, store, strategy, name):
     flow = customer_flow()
     run_sync(flow, people(spark, (1, 126001, 1), (2, 126001, 1)), store)
     raw = people(spark, (1, 126002, 1), ALPH="New name").unionByName(people(spark, (2, 126002, 2)))
-    run_sync(flow, raw, store, on_existing=strategy)
+    result = run_sync(flow, raw, store, on_existing=strategy)
     assert values(stored(store, flow), "ref", "id", "name") == [
         ("1", 1, name), ("2", 2, "Harbour Tools")
     ]
+    action = {"SOURCE_WINS": "UPDATE", "TARGET_WINS": "SKIP"}.get(strategy, "FLAG")
+    assert values(store.conflicts(), "entity_id", "target_id", "action") == [
+        ("1", 1, action), ("2", 2, "SKIP")
+    ]
+    assert [result.records_updated, result.records_kept, result.records_flagged] == [
+        int(action == a) for a in ("UPDATE", "SKIP", "FLAG")
+    ]
     versions = store.target(flow.entity, flow.target_schema).count()
     assert versions == (3 if strategy == "SOURCE_WINS" else 2)
 

@@ -37,8 +37,12 @@ def test_build_lists_every_unresolved_code(spark):
     clean = u.clean_mapping(mapping(
         spark, ("EA", "Units", "Unit"), ("X", "Nope", "Unit"), ("Y", "None", "Unit")
     ), "_pos")
-    with pytest.raises(ValueError, match=r"2 unit mapping.*X -> Nope, Y -> None"):
+    with pytest.raises(ValueError, match=r"2 unit mapping.*X -> Nope, Y -> None") as raised:
         u.build_dimension(clean, targets(spark, (1, "Units")))
+    assert raised.value.count == 2
+    assert values(spark.read.parquet(raised.value.path), "code", "target_name") == [
+        ("X", "Nope"), ("Y", "None")
+    ]
 
 
 def test_build(spark):

@@ -37,7 +37,7 @@ def julian_date(j: str) -> str:
 
 
 def day_text(j: str) -> str:
-    return f"coalesce(strftime({julian_date(j)}, '%Y-%m-%d'), 'unknown')"
+    return f"coalesce(strftime({julian_date(j)}, '%Y-%m-%d'), 'an unknown day')"
 
 
 def phone(c: str) -> str:
@@ -76,6 +76,19 @@ _ROW_RULES = """
     WHEN zip IS NOT NULL AND NOT regexp_full_match(zip, '[0-9]+') THEN 'RULE_08_ZIP_FORMAT'
 """
 
+def clean_mapping(view: str) -> str:
+    return f"""
+        SELECT code, target_name, category FROM (
+          SELECT upper({trimmed('source_code')}) AS code, {trimmed('target_name')} AS target_name,
+                 {trimmed('category')} AS category,
+                 row_number() OVER (PARTITION BY upper({trimmed('source_code')})
+                                    ORDER BY pos DESC) AS place
+          FROM {{{view}}}
+          WHERE {trimmed('source_code')} <> '' AND {trimmed('target_name')} <> '') m
+        WHERE place = 1
+    """
+
+
 CTES: dict[str, str] = VIEWS | {
     "customers": f"""
         SELECT {whole('AN8')} AS _source_key, {cleaned('ALPH')} AS name, true AS is_company,
@@ -84,7 +97,7 @@ CTES: dict[str, str] = VIEWS | {
                {cleaned('CTY1')} AS city, {cleaned('ADDZ')} AS zip, {cleaned('ADDS')} AS state_code,
                {cleaned('COUN')} AS country_code, {cleaned('TAX')} AS vat,
                nullif(PA8, '0') AS parent_key,
-               'Migrated from F0101 | AN8=' || coalesce(AN8, 'None') || ' | Last updated: '
+               'Row of F0101, AN8 ' || coalesce(AN8, 'not given') || ', changed there on '
                  || {day_text('(' + whole('UPMJ') + ')')} AS comment,
                {whole('UPMJ')} AS _upmj, {whole('UPMT')} AS _upmt
         FROM {{raw_address}}
@@ -117,16 +130,8 @@ CTES: dict[str, str] = VIEWS | {
         FROM {customer_results}
     """,
     "valid_customers": "SELECT * FROM {customer_results} WHERE _failed_rule IS NULL",
-    "mapping": f"""
-        SELECT code, target_name, category FROM (
-          SELECT upper({trimmed('source_code')}) AS code, {trimmed('target_name')} AS target_name,
-                 {trimmed('category')} AS category,
-                 row_number() OVER (PARTITION BY upper({trimmed('source_code')})
-                                    ORDER BY pos DESC) AS place
-          FROM {{unit_mapping}}
-          WHERE {trimmed('source_code')} <> '' AND {trimmed('target_name')} <> '') m
-        WHERE place = 1
-    """,
+    "mapping": clean_mapping("unit_mapping"),
+    "bad_mapping": clean_mapping("unit_mapping_bad"),
     "target_units": """
         SELECT id, name FROM (
           SELECT id, name, row_number() OVER (PARTITION BY name ORDER BY id) AS place
@@ -143,8 +148,8 @@ CTES: dict[str, str] = VIEWS | {
                CASE WHEN s IN ('S', 'N') THEN 'consu' WHEN s = 'O' THEN 'service' END AS type,
                s <> 'O' AS sale_ok, true AS purchase_ok, nullif(u1, '') AS uom_id,
                nullif(u2, '') AS uom_po_id, price AS list_price,
-               'Migrated from F4101 | ITM=' || coalesce(cast(k AS varchar), 'None')
-                 || ' | Last updated: ' || {day_text('_upmj')} AS comment,
+               'Row of F4101, ITM ' || coalesce(cast(k AS varchar), 'not given')
+                 || ', changed there on ' || {day_text('_upmj')} AS comment,
                _upmj, _upmt
         FROM (SELECT *, cast(trunc({number('ITM')}) AS bigint) AS k,
                      upper({trimmed("coalesce(STKT, '')")}) AS s,

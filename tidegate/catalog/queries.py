@@ -50,8 +50,7 @@ def target_units(t: Tables) -> DataFrame:
 
 
 def dimension(t: Tables) -> DataFrame:
-    """Stored once: validation and payload look the same units up several times."""
-    return materialize(units.resolve_mapping(mapping(t), target_units(t)), "units")
+    return units.build_dimension(mapping(t), target_units(t))
 
 
 def items(t: Tables) -> DataFrame:
@@ -318,7 +317,8 @@ def item_valid(t: Tables) -> DataFrame:
           THEN format('Units of ITM={} differ in category: ''{}'' is {}, ''{}'' is {}', _source_key,
                       _source_unit1, category1, _source_unit2, category2)
         WHEN _failed_rule = 'Rule08_NegativePrice'
-          THEN format('Price of ITM={} is negative', _source_key)
+          THEN format('Price {} of ITM={} is negative', cast(cast(list_price AS decimal(38, 2)) AS varchar),
+                      _source_key)
         ELSE format('Service ITM={} has unit ''{}'' of category {}; allowed: '
                     'Unit, Time, Working Time, Unit of Time', _source_key, _source_unit1, category1)
         END AS _failure_reason
@@ -379,18 +379,31 @@ def item_uom_flags(t: Tables) -> DataFrame:
 
 @query(oracle("SELECT code, id, name, category FROM {units}"))
 def uom_registry_build(t: Tables) -> DataFrame:
-    known = mapping(t).where(~F.col("target_name").startswith("Missing"))
-    return units.build_dimension(
-        known.join(target_units(t).select(F.col("name").alias("target_name")), "target_name", "left_semi"),
-        target_units(t),
-    )
+    return dimension(t)
 
 
-@query(oracle("""
-    SELECT code, target_name FROM {mapping}
-    WHERE target_name NOT IN (SELECT name FROM {target_units})"""))
+_UNRESOLVED = oracle("""
+    SELECT code, target_name FROM {bad_mapping}
+    WHERE target_name NOT IN (SELECT name FROM {target_units})""")
+
+
+def bad_mapping(t: Tables) -> DataFrame:
+    return units.clean_mapping(t("unit_mapping_bad"), "pos")
+
+
+@query(_UNRESOLVED)
 def uom_registry_unresolved(t: Tables) -> DataFrame:
-    return units.unresolved_mapping(mapping(t), target_units(t))
+    return units.unresolved_mapping(bad_mapping(t), target_units(t))
+
+
+@query(_UNRESOLVED)
+def uom_registry_abort(t: Tables) -> DataFrame:
+    """The table of codes that a refused build leaves behind."""
+    try:
+        units.build_dimension(bad_mapping(t), target_units(t))
+    except units.UnresolvedUnits as error:
+        return t.spark.read.parquet(error.path)
+    raise AssertionError("a mapping with unresolved names was accepted")
 
 
 @query(oracle("""
@@ -427,7 +440,8 @@ def parent_resolution(t: Tables) -> DataFrame:
     SELECT o_orderkey FROM orders
     WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey)""")
 def orders_without_lines(t: Tables) -> DataFrame:
-    lines = t("lineitem").select(F.col("l_orderkey").alias("o_orderkey"))
+    # Distinct first: an order with very many lines sends one row per map task.
+    lines = t("lineitem").select(F.col("l_orderkey").alias("o_orderkey")).distinct()
     return t("orders").select("o_orderkey").join(lines, "o_orderkey", "left_anti")
 
 
@@ -820,6 +834,38 @@ def conflict_apply(t: Tables) -> DataFrame:
     return conflict.apply_decisions(decided, t("target_partner"), ["name", "phone", "city"], "ref")
 
 
+def _two_syncs(t: Tables, strategy: str) -> StateStore:
+    """All customers are loaded, then read again, every second one in another city."""
+    store = StateStore(t.spark, scratch_path(t.spark, "state"))
+    flow, raw = customer_flow(), t("raw_address")
+    run_sync(flow, raw, store)
+    moved = fn.parse_long(F.col("AN8")) % 2 == 0
+    again = raw.withColumns({
+        "CTY1": F.when(moved, F.concat("CTY1", F.lit(" moved"))).otherwise(F.col("CTY1")),
+        "UPMJ": F.lit("125001"), "UPMT": F.lit("1"),
+    })
+    run_sync(flow, again, store, on_existing=strategy)
+    return store
+
+
+@query(oracle("""
+    SELECT cast(_source_key AS varchar) AS entity_id,
+           CASE WHEN _source_key % 2 = 0 THEN 'changed' ELSE 'unchanged' END AS change,
+           CASE WHEN _source_key % 2 = 0 THEN 'FLAG' ELSE 'SKIP' END AS action
+    FROM {valid_customers}"""))
+def sync_conflict_flag(t: Tables) -> DataFrame:
+    return _two_syncs(t, S.FLAG).conflicts().select("entity_id", "change", "action")
+
+
+@query(oracle("""
+    SELECT cast(_source_key AS varchar) AS ref,
+           CASE WHEN _source_key % 2 = 0 THEN city || ' moved' ELSE city END AS city
+    FROM {valid_customers}"""))
+def sync_conflict_update(t: Tables) -> DataFrame:
+    flow = customer_flow()
+    return _two_syncs(t, S.SOURCE_WINS).current_target(flow.entity, flow.target_schema).select("ref", "city")
+
+
 # Previews and reports.
 
 def _preview(t: Tables, df: DataFrame, columns: list[str]) -> DataFrame:

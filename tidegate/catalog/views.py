@@ -97,17 +97,25 @@ VIEWS: dict[str, str] = {
                WHEN 2 THEN CASE WHEN k % 5 = 0 THEN 'Units' ELSE 'Dozens' END
                WHEN 3 THEN ' kg' WHEN 4 THEN 'lb' WHEN 5 THEN 'L' WHEN 6 THEN 'Hours'
                WHEN 7 THEN 'Units' WHEN 8 THEN ' ' WHEN 9 THEN 'Size ' || cast(p_size AS string)
-               WHEN 10 THEN 'Units' ELSE 'Missing ' || cast(k % 7 AS string) END AS target_name,
+               WHEN 10 THEN 'Units' ELSE 'Size ' || cast(p_size AS string) END AS target_name,
           CASE k % 12 WHEN 3 THEN 'Weight' WHEN 4 THEN 'Weight' WHEN 5 THEN 'Volume '
                WHEN 6 THEN 'Time' ELSE 'Unit' END AS category
         FROM (SELECT p_partkey AS k, cast(p_partkey AS string) AS t, p_size FROM {part}) s
     """,
+    "unit_mapping_bad": """
+        SELECT pos, source_code,
+               CASE WHEN pos % 12 = 11 THEN 'Missing ' || cast(pos % 7 AS string) ELSE target_name END
+                 AS target_name, category
+        FROM {unit_mapping}
+    """,
     "unit_target": """
         SELECT p_partkey + 1 AS id,
           CASE p_partkey % 8 WHEN 0 THEN 'Units' WHEN 1 THEN 'Dozens' WHEN 2 THEN 'kg'
                WHEN 3 THEN 'lb' WHEN 4 THEN 'L' WHEN 5 THEN 'Hours'
                ELSE 'Size ' || cast(p_size AS string) END AS name
         FROM {part}
+        UNION ALL
+        SELECT 900000000000 + p_partkey AS id, 'Size ' || cast(p_size AS string) AS name FROM {part}
     """,
     "target_partner": """
         SELECT 10000 + k AS id, cast(k AS string) AS ref,

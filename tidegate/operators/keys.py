@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidegate.runtime import BROADCAST_ROWS, HOT_KEYS, at_most, materialize
+from tidegate.runtime import HOT_ROWS, fits_broadcast, materialize
 
 
 def _all_present(keys: Sequence[str]) -> Column:
@@ -29,30 +29,52 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return key_counts(df, keys).where("n > 1")
 
 
+def hot_answers(
+    counts: DataFrame, right: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS
+) -> DataFrame:
+    """Keys with more than ``hot_rows`` rows and their ``right`` columns as ``_hot``, stored once.
+
+    The bound doubles until the answers fit into a broadcast.  At most ``rows / bound`` keys
+    exceed a bound, so a key left to the shuffled join holds a few rows more than
+    one of hundreds of thousands of equal shares.
+    """
+    values = [c for c in right.columns if c not in keys]
+    frequent = materialize(counts.where(F.col("n") > hot_rows).select(*keys, "n"), "frequent")
+    found = right.join(frequent.select(*keys), list(keys), "left_semi")
+    answers = materialize(
+        frequent.join(found, list(keys), "left").select(*keys, "n", F.struct(*values).alias("_hot")), "hot"
+    )
+    while not fits_broadcast(answers):
+        hot_rows *= 2
+        answers = answers.where(F.col("n") > hot_rows)
+    return answers.drop("n")
+
+
 def unique_lookup(
     left: DataFrame,
     right: DataFrame,
     keys: Sequence[str],
     frequency: DataFrame | None = None,
     small: bool | None = None,
-    hot_keys: int = HOT_KEYS,
+    hot_rows: int = HOT_ROWS,
     left_is_unique: bool = False,
 ) -> DataFrame:
     """Left join to ``right``, which holds each key once, whatever the key skew of ``left``.
 
-    A small ``right`` (counted, not assumed) is broadcast and ``left`` is not shuffled.
-    Otherwise the rows of the most frequent keys are answered from a broadcast of just
-    those keys, and only the remaining rows take part in a shuffled join.  Rows with a
-    null or hot key cannot match there, so they are spread by map task instead of
-    meeting in the one partition their key hashes to.
+    A small ``right`` (measured, not assumed) is broadcast and ``left`` is not shuffled.
+    Otherwise the rows of every key with more than ``hot_rows`` rows are answered from a
+    broadcast of just those keys, and only the remaining rows take part in a shuffled join.
+    Rows with a null or hot key cannot match there, so they are spread by map task instead
+    of meeting in the one partition their key hashes to.
 
-    ``frequency`` may pass known row counts (keys plus ``n``) of ``left``; ``small`` the
-    outcome of a size check already made on ``right``.  With ``left_is_unique`` no key of
-    ``left`` repeats, so there is nothing hot to set apart.
+    ``frequency`` may pass known row counts (keys plus ``n``) of ``left``, so that ``left``
+    is not computed a second time to count them; ``small`` the outcome of a size check
+    already made on ``right``.  With ``left_is_unique`` no key of ``left`` repeats, so there
+    is nothing hot to set apart.
     """
     keys = list(keys)
     if small is None:
-        small = at_most(right, BROADCAST_ROWS)
+        small = fits_broadcast(right)
     if small:
         return left.join(F.broadcast(right), keys, "left")
     if left_is_unique:
@@ -60,12 +82,8 @@ def unique_lookup(
 
     values = [c for c in right.columns if c not in keys]
     counts = key_counts(left, keys) if frequency is None else frequency
-    hot = counts.orderBy(F.desc("n")).limit(hot_keys).select(*keys)
-    hot_right = right.join(F.broadcast(hot), keys, "left_semi")
-    hot_rows = hot.join(F.broadcast(hot_right), keys, "left").select(
-        *keys, F.struct(*values).alias("_hot"), F.lit(True).alias("_is_hot")
-    )
-    staged = left.join(F.broadcast(hot_rows), keys, "left")
+    hot = hot_answers(counts, right, keys, hot_rows).withColumn("_is_hot", F.lit(True))
+    staged = left.join(F.broadcast(hot), keys, "left")
 
     cold = _all_present(keys) & F.col("_is_hot").isNull()
     staged = staged.select(

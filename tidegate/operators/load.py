@@ -13,7 +13,7 @@ from tidegate.functions import parse_long
 from tidegate.operators.keys import unique_lookup
 from tidegate.operators.numbering import number_rows
 from tidegate.operators.units import resolve_units
-from tidegate.runtime import BROADCAST_ROWS, at_most
+from tidegate.runtime import fits_broadcast, materialize
 from tidegate.schemas import FAILED, LOADED, NOT_PROCESSED, SKIPPED
 
 EXISTED = "Already in the target, not created again"
@@ -97,15 +97,15 @@ def attempt_numbers(valid: DataFrame, log: DataFrame, entity: str) -> DataFrame:
 
 
 def only_keys(state: DataFrame, keys: DataFrame, column: str = "entity_id") -> DataFrame:
-    """State rows of the batch's keys, when the batch is small enough to broadcast them.
+    """State rows of the batch's keys.
 
-    An incremental batch is tiny next to log and target; this way neither is shuffled.
-    A large batch needs most of the state anyway and gets all of it.
+    An incremental batch is tiny next to log and target: its keys are broadcast and
+    neither is shuffled.  The keys of a larger batch are met in a shuffle.
     """
     wanted = keys.select(F.col("entity_id").alias(column))
-    if not at_most(wanted, BROADCAST_ROWS):
-        return state
-    return state.join(F.broadcast(wanted), column, "left_semi")
+    if fits_broadcast(wanted):
+        wanted = F.broadcast(wanted)
+    return state.join(wanted, column, "left_semi")
 
 
 def plan_load(
@@ -125,15 +125,8 @@ def plan_load(
     processed.  That row is found by an aggregate over the refused rows, not by an
     ordered scan, so the batch stays distributed.
     """
-    history_small = at_most(history, BROADCAST_ROWS)
-    existing_small = at_most(existing, BROADCAST_ROWS)
-
-    def with_state(rows: DataFrame) -> DataFrame:
-        known = unique_lookup(rows, history, ["entity_id"], small=history_small, left_is_unique=True)
-        return unique_lookup(known, existing, ["entity_id"], small=existing_small, left_is_unique=True)
-
-    keyed = with_entity_id(valid)
-    rows = with_state(keyed)
+    rows = unique_lookup(with_entity_id(valid), history, ["entity_id"], left_is_unique=True)
+    rows = unique_lookup(rows, existing, ["entity_id"], left_is_unique=True)
     was_loaded = F.coalesce("was_loaded", F.lit(False))
     exists = F.col("existing_id").isNotNull()
     place = F.struct(*ORDER)
@@ -142,9 +135,11 @@ def plan_load(
         stopped = refused = F.lit(False)
         error = F.lit(None).cast("string")
     else:
-        reasons = rejections.groupBy("entity_id").agg(F.min("error").alias("_error"))
-        narrow = keyed.select("entity_id", *ORDER).join(reasons, "entity_id")
-        first = with_state(narrow).where(~was_loaded & ~exists).agg(F.min(
+        reasons = rejections.groupBy("entity_id").agg(
+            F.min("error").alias("_error"), F.lit(True).alias("_refused"))
+        # Stored with its state: the first refused row is found in it before the rest is decided.
+        rows = materialize(unique_lookup(rows, reasons, ["entity_id"], left_is_unique=True), "refusals")
+        first = rows.where(F.col("_refused") & ~was_loaded & ~exists).agg(F.min(
             F.struct(*ORDER, "_error")
         )).scalar()
         rows = rows.select("*", first.alias("_first"))
@@ -176,8 +171,11 @@ def plan_load(
 
 
 def assign_target_ids(outcomes: DataFrame, target: DataFrame) -> DataFrame:
-    """Created rows with new target ids that continue the target's numbering."""
-    base = target.agg(F.coalesce(F.max("id"), F.lit(0)).cast("bigint")).scalar()
+    """Created rows with new target ids that continue the target's numbering.
+
+    The greatest id is read here, once: rows appended to the target later do not move it.
+    """
+    base = F.lit(target.agg(F.coalesce(F.max("id"), F.lit(0)).cast("bigint")).first()[0])
     created = outcomes.where("created").drop("target_id")
     return number_rows(created, ORDER, base, "target_id")
 
@@ -247,9 +245,9 @@ def resolve_parents(customers: DataFrame, ids: DataFrame) -> DataFrame:
     the rows, so the join goes through the skew-safe lookup.
     """
     keyed = customers.select("*", parse_long(F.col("parent_key")).cast("string").alias("_parent"))
-    side = ids.select(
+    side = materialize(ids.select(
         F.col("entity_id").alias("_parent"), F.col("target_id").alias("parent_target_id")
-    )
+    ), "parents")
     return unique_lookup(keyed, side, ["_parent"]).drop("_parent")
 
 

@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidegate.functions import code_text, strip
-from tidegate.operators.keys import unique_lookup
+from tidegate.operators.keys import key_counts, unique_lookup
 from tidegate.operators.numbering import number_rows
-from tidegate.runtime import BROADCAST_ROWS, at_most
+from tidegate.runtime import fits_broadcast, materialize, scratch_path
 from tidegate.schemas import UNIT_MAPPING_COLUMNS
 
 
@@ -37,29 +37,53 @@ def first_target_units(target: DataFrame, position: str) -> DataFrame:
     return target.groupBy("name").agg(F.min_by("id", position).alias("id")).select("id", "name")
 
 
+class UnresolvedUnits(ValueError):
+    """Codes of a mapping name no target unit.  ``path`` holds the table of all of them."""
+
+    def __init__(self, count: int, path: str, first: list[str]):
+        super().__init__(
+            f"{count} unit mapping(s) name no target unit, all listed in {path}; first {', '.join(first)}"
+        )
+        self.count, self.path = count, path
+
+
+def _named(mapping: DataFrame, target: DataFrame) -> DataFrame:
+    """The mapping with ``id`` and ``_hit``.  Few names hold most codes, so names are hot keys."""
+    side = target.select(F.col("name").alias("target_name"), "id", F.lit(True).alias("_hit"))
+    return unique_lookup(mapping, side, ["target_name"])
+
+
+def _resolved(named: DataFrame) -> DataFrame:
+    return named.where("_hit").select("code", "id", F.col("target_name").alias("name"), "category")
+
+
+def _unresolved(named: DataFrame) -> DataFrame:
+    return named.where("_hit IS NULL").select("code", "target_name")
+
+
 def resolve_mapping(mapping: DataFrame, target: DataFrame) -> DataFrame:
-    """Mapped codes whose target name exists: (code, id, name, category)."""
-    named = target.select("id", F.col("name"))
-    return mapping.join(named, mapping["target_name"] == named["name"], "inner").select(
-        "code", "id", "name", "category"
-    )
+    """Mapped codes whose target name exists: (code, id, name, category).
+
+    ``target`` holds a name once (``first_target_units``).
+    """
+    return _resolved(_named(mapping, target))
 
 
 def unresolved_mapping(mapping: DataFrame, target: DataFrame) -> DataFrame:
     """Mapped codes whose target name does not exist."""
-    named = target.select(F.col("name").alias("target_name"))
-    return mapping.join(named, "target_name", "left_anti").select("code", "target_name")
+    return _unresolved(_named(mapping, target))
 
 
 def build_dimension(mapping: DataFrame, target: DataFrame) -> DataFrame:
-    """Resolved dimension, or ``ValueError`` that lists the codes that do not resolve."""
-    bad = unresolved_mapping(mapping, target)
-    # Error text only: the first thousand are shown, the count is of all.
-    shown = bad.orderBy("code").take(1000)
-    if shown:
-        listed = ", ".join(f"{r.code} -> {r.target_name}" for r in shown)
-        raise ValueError(f"{bad.count()} unit mapping(s) name no target unit: {listed}")
-    return resolve_mapping(mapping, target)
+    """Resolved dimension, stored, or ``UnresolvedUnits`` with a table of the codes that do not resolve."""
+    named = materialize(_named(mapping, target), "units")
+    bad = _unresolved(named)
+    first = bad.orderBy("code").take(3)
+    if first:
+        path = scratch_path(mapping.sparkSession, "unresolved-units")
+        bad.write.parquet(path)
+        raise UnresolvedUnits(bad.count(), path, [f"{r.code} -> {r.target_name}" for r in first])
+    return _resolved(named)
 
 
 def offline_target_units(mapping: DataFrame, position: str) -> DataFrame:
@@ -101,17 +125,24 @@ def resolve_units(df: DataFrame, units: DataFrame, code: str = "uom_id") -> Data
     return unique_lookup(df, side, [code])
 
 
-def with_unit_categories(items: DataFrame, units: DataFrame) -> DataFrame:
-    """Add known-flag and category of both unit columns."""
+def with_unit_categories(
+    items: DataFrame, units: DataFrame, counted: DataFrame | None = None
+) -> DataFrame:
+    """Add known-flag and category of both unit columns.
+
+    Codes are counted, where that is needed, in ``counted``: the same rows, cheaper to compute.
+    """
     out = items
-    small = at_most(units, BROADCAST_ROWS)
+    small = fits_broadcast(units)
+    counted = items if counted is None else counted
     for n in ("1", "2"):
         side = units.select(
             F.col("code").alias(f"_source_unit{n}"),
             F.col("category").alias(f"_unit{n}_category"),
             F.lit(True).alias(f"_unit{n}_hit"),
         )
-        out = unique_lookup(out, side, [f"_source_unit{n}"], small=small)
+        key = [f"_source_unit{n}"]
+        out = unique_lookup(out, side, key, frequency=key_counts(counted, key), small=small)
         out = out.withColumn(f"_unit{n}_known", F.coalesce(f"_unit{n}_hit", F.lit(False)))
         out = out.drop(f"_unit{n}_hit")
     return out

@@ -140,7 +140,7 @@ def item_rules() -> list[Rule]:
              sentence("Units of ITM=", key, " differ in category: '", unit1, "' is ", category1,
                       ", '", unit2, "' is ", category2)),
         Rule("Rule08_NegativePrice", price < 0,
-             sentence("Price of ITM=", key, " is negative")),
+             sentence("Price ", price.cast("decimal(38,2)"), " of ITM=", key, " is negative")),
         Rule("Rule09_STKTUOMIncompatible",
              (stock == "O") & not_in(category1, SERVICE_CATEGORIES),
              sentence("Service ITM=", key, " has unit '", unit1, "' of category ", category1,
@@ -154,6 +154,6 @@ def validate_customers(customers: DataFrame) -> DataFrame:
 
 def validate_items(items: DataFrame, units: DataFrame) -> DataFrame:
     """``units`` is the resolved unit dimension (code, id, name, category)."""
-    flagged = with_unit_categories(flag_duplicates(items, ["_source_key"]), units)
+    flagged = with_unit_categories(flag_duplicates(items, ["_source_key"]), units, counted=items)
     ruled = apply_rules(flagged, item_rules())
     return ruled.select(*items.columns, "_failed_rule", "_failure_reason")

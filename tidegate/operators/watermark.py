@@ -112,8 +112,14 @@ def current_watermark(state: DataFrame, tables: DataFrame) -> DataFrame:
     )
 
 
-def first_changes(df: DataFrame, order: list[str], n: int | None) -> DataFrame:
-    """First ``n`` rows in ``order``, nulls first; no limit when ``n`` is 0 or None."""
+def first_changes(
+    df: DataFrame, order: list[str], n: int | None, unknown_last: Column | None = None
+) -> DataFrame:
+    """First ``n`` rows in ``order``, nulls first; no limit when ``n`` is 0 or None.
+
+    Rows for which ``unknown_last`` holds come after all others.
+    """
     if not n:
         return df
-    return df.orderBy(*[F.col(c).asc_nulls_first() for c in order]).limit(n)
+    late = [] if unknown_last is None else [unknown_last.asc()]
+    return df.orderBy(*late, *[F.col(c).asc_nulls_first() for c in order]).limit(n)

@@ -46,6 +46,9 @@ class SyncResult:
     exit_code: int = 0
     message: str = ""
     report_path: str | None = None
+    records_updated: int = 0
+    records_kept: int = 0
+    records_flagged: int = 0
 
 
 def new_run() -> tuple[str, str]:
@@ -68,7 +71,9 @@ def extract(raw: Raw, flow: TableFlow, mark: Mark, limit: int | None) -> tuple[D
     else:
         changed = after_watermark(with_change_time(raw), *mark)
     rest = [f.name for f in flow.raw_schema if f.name != flow.key]
-    batch = first_changes(changed, ["_upmj", "_upmt", flow.key, *rest], limit)
+    # Every sync reads rows without a change time, so first they would use up the limit each time.
+    unknown = F.col("_upmj").isNull() | F.col("_upmt").isNull()
+    batch = first_changes(changed, ["_upmj", "_upmt", flow.key, *rest], limit, unknown)
     return batch, changed
 
 
@@ -101,7 +106,7 @@ def load_batch(
 
     Without ``on_existing`` the load only inserts.  With a conflict strategy, rows whose
     key is in the target already are compared by content hash and updated, kept or
-    flagged.
+    flagged.  Each decision is kept in the store's ``conflicts`` table.
     """
     moment = run_moment(run_at)
     version = F.unix_micros(moment)
@@ -144,11 +149,15 @@ def load_batch(
             ),
             on_existing,
         )
-        updates = materialize(
-            decided.where(F.col("action") == S.UPDATE)
-            .withColumn("target_id", F.col("existing_id")),
-            "updates",
-        )
+        # Stored before anything is written: the hashes it compares are about to change.
+        decided = materialize(decided.where("change != 'insert'"), "decided")
+        store.append_conflicts(decided.select(
+            F.lit(batch_id).alias("batch_id"), F.lit(flow.entity).alias("entity_type"), "entity_id",
+            F.col("existing_id").alias("target_id"), "change", "action", "reason", "strategy",
+            "content_hash", "last_hash", moment.alias("run_at"),
+        ))
+        updates = decided.where(F.col("action") == S.UPDATE).withColumn(
+            "target_id", F.col("existing_id"))
         store.append_target(flow.entity, target_rows(updates))
         store.append_hashes(hash_rows(updates))
     return outcomes, history
@@ -225,9 +234,22 @@ def process_batch(
             f"valid {result.records_valid}, loaded {result.records_loaded}, "
             f"skipped {result.records_skipped}, rejected {result.records_failed}"
         )
+        if on_existing is not None:
+            decisions = store.conflicts().where(F.col("batch_id") == batch_id)
+            changed = decisions.where("change = 'changed'").agg(*[
+                F.count_if(F.col("action") == action).alias(action)
+                for action in (S.UPDATE, S.SKIP, S.FLAG)
+            ]).first()
+            result.records_updated, result.records_kept, result.records_flagged = changed
+            result.message += (
+                f"; changed rows: {result.records_updated} updated, {result.records_kept} kept, "
+                f"{result.records_flagged} flagged for review"
+            )
 
     if report_root is not None:
         tables = report_tables(flow, validated, outcomes, history, source, run_at, dry_run)
+        if not dry_run and on_existing is not None:
+            tables["conflicts"] = decisions
         try:
             result.report_path = write_report(tables, report_root, batch_id)
         except Exception as error:  # a report never fails a run that has loaded its rows

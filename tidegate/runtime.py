@@ -5,16 +5,15 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, StructType
 
-# A lookup side with at most this many rows may be broadcast.  Lookup rows in this
-# package are a key plus a few short columns (under ~200 bytes), so the broadcast
-# stays below ~40 MB whatever the size of the fact side.
-BROADCAST_ROWS = 200_000
+# A lookup side whose measured rows take at most so many bytes may be broadcast.
+BROADCAST_BYTES = 32 << 20
 
-# At most this many keys are treated as hot.  A key outside the top HOT_KEYS holds
-# less than 1/HOT_KEYS of the rows, so an ordinary hash partition can carry it.
-HOT_KEYS = 1_000
+# A key with more rows than this is more than a task should read: it is set apart.
+HOT_ROWS = 1_000_000
 
 # Session settings that suit these plans; pass them to the session builder.
 SESSION_SETTINGS = {
@@ -40,7 +39,7 @@ def shared_dir(spark: SparkSession) -> str:
     if configured:
         return configured.rstrip("/")
     context = spark.sparkContext
-    if not context.master.startswith("local"):
+    if context.master != "local" and not context.master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     if context.applicationId not in _local_dirs:
         _local_dirs[context.applicationId] = tempfile.mkdtemp(prefix="tidegate-")
@@ -64,6 +63,21 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def at_most(df: DataFrame, rows: int) -> bool:
-    """Whether ``df`` has no more than ``rows`` rows (a bounded count, no collect)."""
-    return df.limit(rows + 1).count() <= rows
+def row_bytes(df: DataFrame) -> Column:
+    """About what a row takes in memory: the bytes of its texts and 8 for any other value."""
+    sizes = []
+    for field in df.schema:
+        kind, value = field.dataType, F.col(f"`{field.name}`")
+        if isinstance(kind, (StructType, ArrayType, MapType)):
+            value, kind = F.to_json(F.struct(value)), StringType()
+        text = isinstance(kind, (StringType, BinaryType))
+        sizes.append(F.coalesce(F.octet_length(value), F.lit(0)) if text else F.lit(8))
+    return sum(sizes, F.lit(16)).cast("long")
+
+
+def fits_broadcast(df: DataFrame) -> bool:
+    """Whether the rows of ``df`` take at most ``BROADCAST_BYTES``.
+
+    Each task sums up its own rows, so that one number per task is all that moves.
+    """
+    return (df.agg(F.sum(row_bytes(df))).first()[0] or 0) <= BROADCAST_BYTES

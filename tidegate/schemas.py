@@ -52,6 +52,20 @@ CONTENT_HASHES = T.StructType([
     T.StructField("entity_type", T.StringType()),
 ])
 
+CONFLICTS = T.StructType([
+    T.StructField("entity_type", T.StringType()),
+    T.StructField("entity_id", T.StringType()),
+    T.StructField("target_id", T.LongType()),
+    T.StructField("change", T.StringType()),
+    T.StructField("action", T.StringType()),
+    T.StructField("reason", T.StringType()),
+    T.StructField("strategy", T.StringType()),
+    T.StructField("content_hash", T.StringType()),
+    T.StructField("last_hash", T.StringType()),
+    T.StructField("run_at", T.TimestampType()),
+    T.StructField("batch_id", T.StringType()),
+])
+
 # Transformed rows.  Names starting with "_" never reach the target system.
 CUSTOMER_COLUMNS = [
     "_source_key", "name", "is_company", "customer_rank", "_source_type",

@@ -16,7 +16,7 @@ from pyspark.sql.types import StructType
 
 from tidegate.operators.load import backfill_log
 from tidegate.operators.watermark import current_watermark
-from tidegate.schemas import CONTENT_HASHES, LOAD_LOG, WATERMARK_STATE
+from tidegate.schemas import CONFLICTS, CONTENT_HASHES, LOAD_LOG, WATERMARK_STATE
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
@@ -87,5 +87,12 @@ class StateStore:
             F.max_by("content_hash", "run_at").alias("last_hash")
         )
 
+    def conflicts(self) -> DataFrame:
+        """Decision on each row that a sync found in the target already."""
+        return read_or_empty(self.spark, self.path("conflicts"), CONFLICTS)
+
+    def append_conflicts(self, rows: DataFrame) -> None:
+        rows.write.mode("append").partitionBy("batch_id").parquet(self.path("conflicts"))
+
     def append_hashes(self, rows: DataFrame) -> None:
         rows.write.mode("append").partitionBy("entity_type").parquet(self.path("hashes"))
