@@ -25,7 +25,7 @@ from tidegate.llm.word_kernels import SPACES, by_text, grouped, shingles, word_h
 WORDS = 5
 SIMILARITY = 80  # per cent
 MOST_FREQUENT = 100_000  # entries of the table of frequent shingles; it only sets an order
-COUNTED = 4_000_000  # shingles that are counted together in a task
+COUNTED = 2_000_000  # shingles that are counted together in a task
 SEEN = 3  # a shingle found so often among them goes to that table
 SKETCH = 8  # 64-bit words
 
@@ -51,18 +51,24 @@ def _digests(found: np.ndarray) -> tuple[int, int]:
     return int(a.view(np.int64)), int(b.view(np.int64))
 
 
-def _often(held: list[np.ndarray]) -> list[dict]:
+def _often(held: list[np.ndarray]):
+    """Rows with n = -1 of shingles of several texts and their counts, a thousand in each."""
     values, counts = np.unique(np.concatenate(held), return_counts=True)
     many = counts >= SEEN
-    return [
-        {"shingle": h, "n": c} for h, c in zip(values[many].view(np.int64).tolist(), counts[many].tolist(), strict=True)]
+    values, counts = values[many].view(np.int64), counts[many]
+    for i in range(0, len(values), 50_000):
+        cuts = range(i, min(i + 50_000, len(values)), 1_000)
+        yield pd.DataFrame({
+            "key": 0, "n": -1, "d1": 0, "d2": 0,
+            "often": [values[c : c + 1_000] for c in cuts], "times": [counts[c : c + 1_000] for c in cuts]})
 
 
 def _profiles(words: int):
-    """(key, n, d1, d2) of each text, and rows with n = -1 that carry shingles of several texts."""
+    """(key, n, d1, d2) of each text, and rows of ``_often``."""
 
     def run(batches):
-        columns = ["key", "n", "d1", "d2", "often"]
+        columns = ["key", "n", "d1", "d2", "often", "times"]
+        none = np.zeros(0, dtype=np.int64)
         held, size = [], 0
         for batch in batches:
             texts = [t.encode() for t in batch["text"]]
@@ -71,15 +77,15 @@ def _profiles(words: int):
                 sets = shingle_sets(texts[part], words)
                 held += sets
                 size += sum(map(len, sets))
-                rows += [(len(s), *_digests(s), []) for s in sets]
+                rows += [(len(s), *_digests(s), none, none) for s in sets]
                 if size > COUNTED:
-                    yield pd.DataFrame([(0, -1, 0, 0, _often(held))], columns=columns)
+                    yield from _often(held)
                     held, size = [], 0
             out = pd.DataFrame(rows, columns=columns[1:])
             out.insert(0, "key", batch["key"].to_numpy())
             yield out
         if held:
-            yield pd.DataFrame([(0, -1, 0, 0, _often(held))], columns=columns)
+            yield from _often(held)
 
     return run
 
@@ -201,12 +207,12 @@ def similar_documents(
     spark = df.sparkSession
     docs, rows = unique_keys(df, id_col, text_or_empty(text_col))
     profiles = materialize(docs.mapInPandas(
-        _profiles(words), "key long, n long, d1 long, d2 long, often array<struct<shingle:long,n:long>>"), "profiles")
+        _profiles(words), "key long, n long, d1 long, d2 long, often array<long>, times array<long>"), "profiles")
     classes = materialize(
         profiles.where("n > 0").groupBy("n", "d1", "d2").agg(F.min("key").alias("class")), "classes")
-    often = profiles.select(F.explode("often").alias("x")).groupBy(F.col("x.shingle").alias("shingle")).agg(
-        F.sum("x.n").alias("n"))
-    profiles = profiles.where("n >= 0").drop("often")
+    often = profiles.where("n = -1").select(F.explode(F.arrays_zip("often", "times")).alias("x")).groupBy(
+        F.col("x.often").alias("shingle")).agg(F.sum("x.times").alias("n"))
+    profiles = profiles.where("n >= 0").drop("often", "times")
     often = sorted((r["shingle"] % 2**64, r["n"]) for r in often.orderBy(F.desc("n"), "shingle").limit(MOST_FREQUENT).collect())
     sent = spark.sparkContext.broadcast(  # 16 bytes an entry, MOST_FREQUENT entries at most
         (np.array([x for x, _ in often], dtype=np.uint64), np.array([n for _, n in often], dtype=np.int64)))
