@@ -207,6 +207,21 @@ def test_mix(spark):
     assert {r.source: r.n for r in weighted.collect()} == {"": 4, "a": 2, "b": 2}
 
 
+def test_mix_many_sources(spark):
+    n = {f"s{k:03}": 8 + 4 * k for k in range(300)}  # every source ends in a stretch of its own
+    df = spark.createDataFrame([(k * 10_000 + i, s) for k, (s, m) in enumerate(n.items()) for i in range(m)], "doc_id long, source string")
+    default = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "100")
+    try:
+        got = mix(df, block=4).select("source", "source_block", "slot", "place").collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", default)
+    assert len(got) == sum(n.values()) == len({(r.slot, r.place) for r in got})
+    held = {}
+    for r in got:
+        assert held.setdefault(r.slot, (r.source, r.source_block)) == (r.source, r.source_block)
+
+
 def test_toxicity(spark):
     rng = random.Random(9)
     v = [f"wort{i}" for i in range(200)]

@@ -80,16 +80,16 @@ def phases(blocks: list[int], shares: list[int]) -> list[dict]:
     return out
 
 
-def _templates(batches):
-    for batch in batches:
-        for phase, group in batch.groupby("phase"):
-            nth: dict[int, int] = {}
-            rows = []
-            schedule = period_schedule(dict(zip(group["source"].tolist(), group["share"].tolist(), strict=True)))
-            for at, s in enumerate(schedule):
-                rows.append((phase, s, nth.get(s, 0), at))
-                nth[s] = nth.get(s, 0) + 1
-            yield pd.DataFrame(rows, columns=["phase", "source", "nth", "at"])
+def _template(group: pd.DataFrame) -> pd.DataFrame:
+    """The schedule of one phase, of which ``group`` holds all sources."""
+    phase = int(group["phase"].iloc[0])
+    nth: dict[int, int] = {}
+    rows = []
+    schedule = period_schedule(dict(zip(group["source"].tolist(), group["share"].tolist(), strict=True)))
+    for at, s in enumerate(schedule):
+        rows.append((phase, s, nth.get(s, 0), at))
+        nth[s] = nth.get(s, 0) + 1
+    return pd.DataFrame(rows, columns=["phase", "source", "nth", "at"])
 
 
 def mix(
@@ -134,8 +134,8 @@ def mix(
     stretches = spark.createDataFrame(
         [(p["phase"], p["period"], p["source"], names[p["source"]], p["share"], p["first"], p["stop"]) for p in plan],
         "phase long, period long, source long, name string, share long, first long, stop long")
-    slots = stretches.repartition("phase").mapInPandas(
-        _templates, "phase long, source long, nth long, at long")
+    # A group is a whole phase, however Arrow cuts its rows; it has at most a row for each source.
+    slots = stretches.groupBy("phase").applyInPandas(_template, "phase long, source long, nth long, at long")
     # One row for each source and sort partition.
     before = Window.partitionBy("name").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = runs.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0))).select(
