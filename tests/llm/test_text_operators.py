@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tidegate.llm.decontaminate import contained_items, sketch_size, without_items
 from tidegate.llm.html_extract import extract
 from tidegate.llm.licenses import licenses
-from tidegate.llm.mixing import mix, period_schedule, whole_shares
+from tidegate.llm.mixing import exact_shares, mix, period_schedule, period_shares, phases, whole_shares
 from tidegate.llm.secret_scan import redact, scan
 from tidegate.llm.token_counts import token_counts
 from tidegate.llm.toxicity import Model, fit, toxicity, train, without_toxic
@@ -207,6 +207,36 @@ def test_mix(spark):
     assert {r.source: r.n for r in weighted.collect()} == {"": 4, "a": 2, "b": 2}
 
 
+def test_schedule_stays_near_the_weights():
+    rng = random.Random(4)
+    cases = [([1.0, 1.0, 2.0], [900, 900, 900]), ([0.5] + [0.5 / 299] * 299, [1500] + [3] * 299), ([1e-9, 1.0, 0.3], [2, 70, 90])]
+    cases += [([n**0.5 for n in (9000, *range(500, 1450, 50))], [9000, *range(500, 1450, 50)])]
+    cases += [([rng.random() ** 3 + 1e-6 for _ in range(n)], [rng.randrange(1, 400) for _ in range(n)]) for n in (1, 2, 3, 8, 20) for _ in range(20)]
+    for weights, blocks in cases:
+        shares, placed, slot, period = exact_shares(weights), [0] * len(blocks), 0, 30
+        for p in phases(blocks, shares, period):
+            assert p["phase"] == slot and p["first"] == [placed[s] for s in p["sources"]]
+            own = {s: shares[s] for s in p["sources"]}
+            total, at, done = sum(own.values()), 0, dict.fromkeys(own, 0)
+            for now in period_shares(own, dict(zip(own, p["extra"], strict=True)), p["rounds"], period):
+                for s in period_schedule(now):
+                    at += 1
+                    done[s] += 1
+                    assert all(abs(n * total - at * own[i]) < 2 * total for i, n in done.items())
+                assert at % period == 0 and all(abs(n * total - at * own[i]) < total for i, n in done.items())
+            slot += at
+            assert p["stop"] == [placed[s] + min(done[s], blocks[s] - placed[s]) for s in own]
+            for s, n in done.items():
+                placed[s] = min(blocks[s], placed[s] + n)
+        assert placed == blocks
+
+
+def test_mix_keeps_the_weights(spark):
+    df = spark.range(12_000).select(F.col("id").alias("doc_id"), F.element_at(F.array(*map(F.lit, "abc")), (F.col("id") % 3 + 1).cast("int")).alias("source"))
+    got = mix(df, weights={"a": 1.0, "b": 1.0, "c": 2.0}, block=4, period=30).where("slot < 1200").groupBy("source").agg(F.countDistinct("slot").alias("n"))
+    assert {r.source: r.n for r in got.collect()} == {"a": 300, "b": 300, "c": 600}
+
+
 def test_mix_many_sources(spark):
     n = {f"s{k:03}": 8 + 4 * k for k in range(300)}  # every source ends in a stretch of its own
     df = spark.createDataFrame([(k * 10_000 + i, s) for k, (s, m) in enumerate(n.items()) for i in range(m)], "doc_id long, source string")

@@ -2,14 +2,17 @@
 
 A source of weight w gets block j (from 0) no earlier than slot floor(j / w) and before slot
 ceil((j + 1) / w).  Earliest deadline first among the released blocks then keeps every source
-within one block of its share at every slot.  Weights are rounded to whole blocks of a period,
-so one period's schedule, made once, places all blocks in parallel.
+within one block of its share at every slot.  A period has whole blocks of each source.  What
+its weight has beyond whole blocks is carried on: the rests are scheduled in the same way, by
+periods instead of slots.  So a source is within one block of its exact weight at the end of each
+period and within two inside, however many periods there are, and periods are scheduled in parallel.
 """
 
 from __future__ import annotations
 
 import heapq
 import math
+from fractions import Fraction
 
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -54,42 +57,109 @@ def whole_shares(weights: list[float], period: int) -> list[int]:
     return shares
 
 
-def phases(blocks: list[int], shares: list[int]) -> list[dict]:
+def exact_shares(weights: list[float]) -> list[int]:
+    """Whole numbers in exact proportion to the weights."""
+    exact = [Fraction(w) for w in weights]
+    unit = math.lcm(*(x.denominator for x in exact))
+    return [int(x * unit) for x in exact]
+
+
+def _rests(shares: dict[int, int], period: int) -> tuple[int, dict[int, int], dict[int, int]]:
+    """(total of the shares, whole blocks of a period, rest in parts of the total) by source."""
+    total = sum(shares.values())
+    return total, {s: w * period // total for s, w in shares.items()}, {s: w * period % total for s, w in shares.items()}
+
+
+def phases(blocks: list[int], shares: list[int], period: int) -> list[dict]:
     """Stretches of whole periods, each until a source has no block left.
 
     Later stretches share the slots among the rest by the same weights.  A source that ends
-    within the last period of a stretch leaves its remaining slots there empty.
+    within the last period of a stretch leaves its remaining slots there empty.  ``extra`` are the
+    blocks that the rests make in a stretch: the whole ones and, of those begun, the first
+    released, as many as there are slots; for this choice a schedule exists that keeps all windows.
     """
     left, first, slot, out = dict(enumerate(blocks)), [0] * len(blocks), 0, []
     left = {s: n for s, n in left.items() if n}
     while left:
-        own = {s: shares[s] for s in left}
-        period = sum(own.values())
-        rounds = min(-(-n // own[s]) for s, n in left.items())
-        for s in list(left):
-            taken = min(left[s], rounds * own[s])
-            out.append({
-                "phase": slot, "period": period, "source": s, "share": own[s],
-                "first": first[s], "stop": first[s] + taken,
-            })
-            first[s] += taken
-            left[s] -= taken
+        total, whole, rest = _rests({s: shares[s] for s in left}, period)
+        rounds = min(-(-n * total // (shares[s] * period)) for s, n in left.items())
+        extra = {s: rest[s] * rounds // total for s in left}
+        begun = sorted((s for s in left if rest[s] * rounds % total), key=lambda s: (extra[s] * total // rest[s], s))
+        for s in begun[: sum(rest.values()) // total * rounds - sum(extra.values())]:
+            extra[s] += 1
+        taken = {s: min(n, whole[s] * rounds + extra[s]) for s, n in left.items()}
+        out.append({
+            "phase": slot, "rounds": rounds, "sources": list(left), "extra": list(extra.values()),
+            "first": [first[s] for s in left], "stop": [first[s] + taken[s] for s in left],
+        })
+        for s, n in taken.items():
+            first[s] += n
+            left[s] -= n
             if not left[s]:
                 del left[s]
         slot += rounds * period
     return out
 
 
-def _template(group: pd.DataFrame) -> pd.DataFrame:
-    """The schedule of one phase, of which ``group`` holds all sources."""
-    phase = int(group["phase"].iloc[0])
-    nth: dict[int, int] = {}
-    rows = []
-    schedule = period_schedule(dict(zip(group["source"].tolist(), group["share"].tolist(), strict=True)))
-    for at, s in enumerate(schedule):
-        rows.append((phase, s, nth.get(s, 0), at))
-        nth[s] = nth.get(s, 0) + 1
-    return pd.DataFrame(rows, columns=["phase", "source", "nth", "at"])
+def period_shares(shares: dict[int, int], extra: dict[int, int], rounds: int, period: int):
+    """The blocks of each source, for one period of a stretch after the other."""
+    total, whole, rest = _rests(shares, period)
+    room = sum(rest.values()) // total  # blocks of the rests in a period
+    waiting = [(0, s) for s in shares if extra[s]]
+    heapq.heapify(waiting)
+    ready: list[tuple[int, int]] = []
+    done = dict.fromkeys(shares, 0)
+    for at in range(rounds):
+        now = dict(whole)
+        for _ in range(room):
+            while waiting and waiting[0][0] <= at:
+                s = heapq.heappop(waiting)[1]
+                heapq.heappush(ready, (min(rounds, -(-(done[s] + 1) * total // rest[s])), s))
+            s = heapq.heappop(ready)[1]
+            now[s] += 1
+            done[s] += 1
+            if done[s] < extra[s]:
+                heapq.heappush(waiting, (done[s] * total // rest[s], s))
+        yield now
+
+
+def _periods(shares: list[int], period: int):
+    """A row for each period, from rows that are whole phases."""
+
+    def run(batches):
+        for batch in batches:
+            for row in batch.itertuples(index=False):
+                sources, first, stop = row.sources.tolist(), row.first.tolist(), row.stop.tolist()
+                extra = dict(zip(sources, row.extra.tolist(), strict=True))
+                rows, slot = [], row.phase
+                for now in period_shares({s: shares[s] for s in sources}, extra, row.rounds, period):
+                    own = list(now.values())
+                    rows.append((slot, sources, own, first, stop))
+                    first, slot = [a + n for a, n in zip(first, own, strict=True)], slot + period
+                    if len(rows) == 100:
+                        yield pd.DataFrame(rows, columns=["slot", "sources", "share", "first", "stop"])
+                        rows = []
+                yield pd.DataFrame(rows, columns=["slot", "sources", "share", "first", "stop"])
+
+    return run
+
+
+def _scheduled(names: list[str]):
+    """(name, source_block, slot) of the blocks of each period."""
+
+    def run(batches):
+        for batch in batches:
+            for row in batch.itertuples(index=False):
+                sources = row.sources.tolist()
+                at, stop = (dict(zip(sources, x.tolist(), strict=True)) for x in (row.first, row.stop))
+                rows = []
+                for slot, s in enumerate(period_schedule(dict(zip(sources, row.share.tolist(), strict=True))), row.slot):
+                    if at[s] < stop[s]:
+                        rows.append((names[s], at[s], slot))
+                        at[s] += 1
+                yield pd.DataFrame(rows, columns=["name", "source_block", "slot"])
+
+    return run
 
 
 def mix(
@@ -105,7 +175,8 @@ def mix(
 
     Returns id, source, source_block, slot and place, one row for each input row: none is dropped or
     repeated.  Reading by (slot, place), each source has, until one of them ends, a number
-    of blocks within one of its share; then the others go on by their weights.  A null source
+    of blocks within two (at the end of each ``period``, within one) of its weight's share of the
+    slots; then the others go on by their weights in the same way.  A null source
     counts as the source ''.  Null and repeated ids keep one row each.  An empty table
     gives an empty result.
     """
@@ -129,13 +200,18 @@ def mix(
     kind = rows.schema["id"].dataType.simpleString()
     if not names:
         return spark.createDataFrame([], f"{id_col} {kind}, {source_col} string, source_block long, slot long, place int")
-    shares = whole_shares(wanted, max(period, 10 * len(names)))
-    plan = phases([-(-counts[n] // block) for n in names], shares)
+    shares = exact_shares(wanted)
+    period = max(period, 10 * len(names))
+    plan = phases([-(-counts[n] // block) for n in names], shares, period)
+    # A row is a whole phase, then a whole period, with an entry for each source, so no batch splits one.
+    columns = ["phase", "rounds", "sources", "extra", "first", "stop"]
     stretches = spark.createDataFrame(
-        [(p["phase"], p["period"], p["source"], names[p["source"]], p["share"], p["first"], p["stop"]) for p in plan],
-        "phase long, period long, source long, name string, share long, first long, stop long")
-    # A group is a whole phase, however Arrow cuts its rows; it has at most a row for each source.
-    slots = stretches.groupBy("phase").applyInPandas(_template, "phase long, source long, nth long, at long")
+        [tuple(p[c] for c in columns) for p in plan],
+        "phase long, rounds long, sources array<long>, extra array<long>, first array<long>, stop array<long>")
+    slots = stretches.repartition("phase").mapInPandas(
+        _periods(shares, period),
+        "slot long, sources array<long>, share array<long>, first array<long>, stop array<long>").repartition("slot").mapInPandas(
+        _scheduled(names), "name string, source_block long, slot long")
     # One row for each source and sort partition.
     before = Window.partitionBy("name").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = runs.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0))).select(
@@ -144,14 +220,5 @@ def mix(
     nth = F.col("row") + F.col("shift")
     located = located.select(
         "id", "name", F.floor(nth / block).alias("source_block"), F.pmod(nth, F.lit(block)).cast("int").alias("place"))
-    # Blocks are located once each, then joined to their rows.
-    made = located.groupBy("name", "source_block").agg(F.count("*").alias("rows"))
-    inside = (made["source_block"] >= F.col("first")) & (made["source_block"] < F.col("stop"))
-    made = made.join(F.broadcast(stretches), (made["name"] == stretches["name"]) & inside).select(
-        made["name"], "source_block", "phase", "period", "source",
-        F.pmod(F.col("source_block") - F.col("first"), F.col("share")).alias("nth"),
-        F.floor((F.col("source_block") - F.col("first")) / F.col("share")).alias("round"))
-    made = made.join(slots, ["phase", "source", "nth"]).select(
-        "name", "source_block", (F.col("phase") + F.col("round") * F.col("period") + F.col("at")).alias("slot"))
-    return located.join(made, ["name", "source_block"]).select(
+    return located.join(slots, ["name", "source_block"]).select(
         F.col("id").alias(id_col), F.col("name").alias(source_col), "source_block", "slot", "place")
