@@ -207,6 +207,16 @@ def test_mix(spark):
     assert {r.source: r.n for r in weighted.collect()} == {"": 4, "a": 2, "b": 2}
 
 
+def test_html_counts_decide(spark):
+    own = "the long story of this page and of no other page"
+    pages = [(i, "http://few.example/", f"<div>{own} {i}<b></b></div><article><p>teaser {i}</p></article><div>tail of all</div>") for i in range(4)]
+    pages += [(10 + i, "http://inside.example/", f"<article><p>{own} {i}</p><p>Read more</p><p>{'twice' if i < 2 else i}</p></article>") for i in range(5)]
+    pages += [(20, "http://copy.example/", f"<article><p>{own}</p></article>")] * 12
+    got = sorted((r.page_id, r.text) for r in extract(spark.createDataFrame(pages, "page_id long, url string, html string")).collect())
+    assert got == sorted(
+        [(i, f"{own} {i}\nteaser {i}") for i in range(4)] + [(10 + i, f"{own} {i}\n{'twice' if i < 2 else i}") for i in range(5)] + [(20, own)] * 12)
+
+
 def test_schedule_stays_near_the_weights():
     rng = random.Random(4)
     cases = [([1.0, 1.0, 2.0], [900, 900, 900]), ([0.5] + [0.5 / 299] * 299, [1500] + [3] * 299), ([1e-9, 1.0, 0.3], [2, 70, 90])]

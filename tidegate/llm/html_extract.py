@@ -21,6 +21,8 @@ from tidegate.llm.common import materialize
 
 MIN_PAGES = 10  # pages of a host on which a subtree recurs at least
 MIN_SHARE = 0.05  # of the host's pages
+FEW_PAGES = 3  # so few are enough where they are this share of the host's pages
+FEW_SHARE = 0.5
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|</?[a-zA-Z][^\s/>]*(?:[^>\"']|\"[^\"]*\"|'[^']*')*>|<|[^<]+", re.S)
 _NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
@@ -123,8 +125,8 @@ def outline(page: str) -> tuple[list[int], list]:
     """(hashes of subtrees that hold text, blocks).
 
     A block is [text, numbers of the hashed subtrees around it, 1 within an article or main
-    element].  Subtrees that are prose within an article are not hashed: a passage that several
-    articles share is theirs, not the template's.
+    element].  Hashes of articles and of prose within them are odd, all others even: a passage that
+    several articles share may be theirs, not the template's.
     """
     root = parse(page)
     hashes: dict[int, int] = {}
@@ -161,9 +163,9 @@ def outline(page: str) -> tuple[list[int], list]:
             flush()
             own, main = around[-1]
             inside = main or int(node.tag in MAIN)
-            if held[id(node)] and node.tag not in ("#page", "html", "body") and not (inside and (node.tag in PROSE or node.tag in MAIN)):
+            if held[id(node)] and node.tag not in ("#page", "html", "body"):
                 own = (*own, len(subtrees))
-                subtrees.append(hashes[id(node)])
+                subtrees.append(hashes[id(node)] & ~1 | int(bool(inside and (node.tag in PROSE or node.tag in MAIN))))
             around.append((own, inside))
             if not node.apart:
                 todo.append((node, False))
@@ -175,10 +177,11 @@ def outline(page: str) -> tuple[list[int], list]:
 
 
 def main_text(blocks: list, gone: set[int]) -> str:
-    """Blocks outside deleted subtrees, those of the article where the page has one."""
+    """Blocks outside deleted subtrees, those of the article where it holds most of their text."""
     left = [b for b in blocks if not gone.intersection(b[1])]
-    if any(b[2] for b in blocks):
-        left = [b for b in left if b[2]]
+    inside = [b for b in left if b[2]]
+    if 2 * sum(len(b[0]) for b in inside) > sum(len(b[0]) for b in left):
+        left = inside
     return "\n".join(b[0] for b in left)
 
 
@@ -189,6 +192,7 @@ def _outlines(batches):
         yield pd.DataFrame({
             "page": batch["page"], "url": batch["url"],
             "host": [re.sub(r"^(?:[a-z][a-z0-9+.-]*:)?//(?:[^/@?#]*@)?", "", u or "", flags=re.I).split("/")[0].split("?")[0].split("#")[0].split(":")[0].lower() for u in batch["url"]],
+            "digest": [_digest(h) for h in batch["html"]],
             "subtrees": [s for s, _ in found],
             "packed": [pack(json.dumps(b, ensure_ascii=False).encode("utf-8", "surrogatepass")) for _, b in found],
         })
@@ -212,8 +216,10 @@ def extract(
     """The main text of whole pages.
 
     A subtree is deleted when it is on at least ``min_pages`` pages and ``min_share`` of the pages of its
-    host; menus, headers, footers, forms, scripts and the like are left out by their element,
-    class, id or role as well.  Where a page has an article or main element, its text is taken.
+    host, or on ``FEW_PAGES`` pages and ``FEW_SHARE`` of them; an article or prose within one only
+    in the second case.  Pages equal in host and html count as one page.  Menus, headers, footers,
+    forms, scripts and the like are left out by their element, class, id or role as well.
+    Where article and main elements hold more than half of the text then left, only theirs is taken.
     Blocks are in page order, one line each, with character references decoded and white space
     made single spaces.
 
@@ -225,13 +231,18 @@ def extract(
         F.col(id_col).alias("page"), F.col(url_col).cast("string").alias("url"),
         F.coalesce(F.col(html_col).cast("string"), F.lit("")).alias("html"))
     parsed = rows.mapInPandas(
-        _outlines, f"page {kind}, url string, host string, subtrees array<long>, packed binary")
+        _outlines, f"page {kind}, url string, host string, digest long, subtrees array<long>, packed binary")
     parsed = materialize(parsed.withColumn("row", F.monotonically_increasing_id()), "pages")
-    pages = parsed.groupBy("host").agg(F.count("*").alias("pages"))
+    different = parsed.groupBy("host", "digest").agg(F.min("row").alias("row"))
+    pages = different.groupBy("host").agg(F.count("*").alias("pages"))
     on = parsed.select("row", "host", F.explode(F.array_distinct("subtrees")).alias("subtree"))
     # Counted per host with partial sums, then few rows: subtrees that recur.
-    recurring = on.groupBy("host", "subtree").agg(F.count("*").alias("n")).where(F.col("n") >= min_pages)
-    recurring = recurring.join(pages, "host").where(F.col("n") >= F.col("pages") * min_share).select("host", "subtree")
+    recurring = on.join(different.select("row"), "row", "left_semi").groupBy("host", "subtree").agg(
+        F.count("*").alias("n")).where(F.col("n") >= min(min_pages, FEW_PAGES))
+    often = (F.col("n") >= min_pages) & (F.col("n") >= F.col("pages") * min_share)
+    mostly = (F.col("n") >= FEW_PAGES) & (F.col("n") >= F.col("pages") * FEW_SHARE)
+    of_article = F.col("subtree").bitwiseAND(F.lit(1)) == 1
+    recurring = recurring.join(pages, "host").where(mostly | often & ~of_article).select("host", "subtree")
     gone = on.join(recurring, ["host", "subtree"]).groupBy("row").agg(F.collect_list("subtree").alias("gone"))
     whole = parsed.join(gone, "row", "left").select("page", "url", "subtrees", "packed", "gone")
     return whole.mapInPandas(_texts, f"page {kind}, url string, text string").select(
