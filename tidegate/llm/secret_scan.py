@@ -25,7 +25,6 @@ CANDIDATE = "[A-Za-z0-9+/_=-]{20,}"
 WORD = "[A-Za-z][A-Za-z0-9_-]{7,}"
 LETTERS = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
 CLASSES = len(LETTERS) + 1  # one more for all other characters
-SAMPLE = 4_000  # documents, about, whose words train the ordinary model
 MIN_RATIO = 0.2  # log-likelihood ratio per pair of characters
 SPAN = "struct<start:int,stop:int,kind:int,value:string>"
 
@@ -108,17 +107,15 @@ def _long(text: Column) -> Column:
     return F.when(text.rlike(CANDIDATE), _located(text, CANDIDATE, 3)).otherwise(F.array().cast(f"array<{SPAN}>"))
 
 
-def _table(values: DataFrame, texts: DataFrame, sample: int, n: int) -> Column | None:
+def _table(values: DataFrame, texts: DataFrame) -> Column | None:
     """The trained ratios by pair as one array, or None where no base value is found.
 
-    ``values`` has an array of base values, ``texts`` the whole texts of ``n`` rows.
+    ``values`` has an array of base values, ``texts`` the whole texts.
     """
     random = values.select(F.explode("value").alias("value")).groupBy("value").agg(F.count("*").cast("double").alias("times"))
     if random.isEmpty():
         return None
-    share = min(1.0, sample / max(1, n))
-    chosen = texts.where(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < int(share * 1_000_000))
-    words = chosen.select(F.explode(F.regexp_extract_all("text", F.lit(WORD), F.lit(0))).alias("value"))
+    words = texts.select(F.explode(F.regexp_extract_all("text", F.lit(WORD), F.lit(0))).alias("value"))
     words = words.groupBy("value").agg(F.count("*").cast("double").alias("times"))
     # What a base pattern may find is no ordinary string.
     odd = F.col("value").rlike(f"{ACCESS}|{HEX}") | F.col("value").rlike("[0-9]") & (F.length("value") >= VALUE_LENGTH)
@@ -137,15 +134,14 @@ def _with_random(base: Column, long: Column, table: Column | None, min_ratio: fl
 
 def scan(
     df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_ratio: float = MIN_RATIO,
-    sample: int = SAMPLE,
 ) -> DataFrame:
     """Find the secrets of whole texts.
 
     Returns id, n_assign, n_access, n_hex, base_sha256, spans (kind:start:stop by start, then kind, in
     code points, stop exclusive) and found, the same as an array of (start, stop, kind number,
     value).  The base patterns' spans always stay; the Markov models add spans of kind random that
-    do not meet them.  Words of about ``sample`` documents, chosen by hash of their text,
-    train the ordinary model; the base values of all documents train the random one.
+    do not meet them.  The words of all documents train the ordinary model, the base values of all
+    documents the random one.
 
     Null and empty texts have no span and the digest of ''.  Where no base value is found there is
     nothing to learn from, and no span is added.  One row for each input row, whatever its id.
@@ -153,7 +149,7 @@ def scan(
     text = F.col("text")
     rows = df.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
     found = materialize(rows.select("id", _base(text).alias("base"), _long(text).alias("long")), "secrets")
-    table = _table(found.select("base.value"), rows.select("text"), sample, df.count())
+    table = _table(found.select("base.value"), rows.select("text"))
     whole = found.select("id", "base", _with_random(F.col("base"), F.col("long"), table, min_ratio).alias("found"))
     count = [F.size(F.filter("base", _is_kind(k))).cast("long").alias(f"n_{KINDS[k]}") for k in range(3)]
     return whole.select(
@@ -176,12 +172,12 @@ def redacted(text: Column, found: Column, mask: str = "[secret]") -> Column:
 
 
 def redact(
-    df: DataFrame, text_col: str = "text", min_ratio: float = MIN_RATIO, sample: int = SAMPLE, mask: str = "[secret]",
+    df: DataFrame, text_col: str = "text", min_ratio: float = MIN_RATIO, mask: str = "[secret]",
 ) -> DataFrame:
     """The rows, with all their columns, and each secret that ``scan`` finds in the text masked."""
     texts = df.select(text_or_empty(text_col).alias("text"))
     values = materialize(texts.select(_base(F.col("text"))["value"].alias("value")).where(F.size("value") > 0), "values")
-    table = _table(values, texts, sample, df.count())
+    table = _table(values, texts)
     text = F.col(text_col)
     spans = _with_random(_base(text), _long(text), table, min_ratio)
     some = text.rlike(f"{ASSIGN}|{ACCESS}|{HEX}|{CANDIDATE}")
