@@ -63,8 +63,9 @@ RULES = (
 )
 #: Every known sentence has one of these, so other texts need no splitting.
 CUES = ("licen", "copyright", "warrant", "permission", "permitted", "reserved", "public domain", "redistribut")
-# A sentence ends at a line break followed by a blank line or a full stop and white space.
-END = r"[.!?:;]+[\x20\t\r\n]+|[.!?:;]+$|\n[\x20\t\r]*\n|\n"
+# What ends a sentence in any case; a single line break may end one or be inside it.
+END = r"[.!?]+[\x20\t\r\n]+|[.!?]+$|\n[\x20\t\r]*\n"
+PAUSE = r"[:;]+[\x20\t\r\n]+|[:;]+$"  # ends a sentence that is not known with what follows
 
 assert all(any(c in s for c in CUES) for s in SENTENCES.values())
 
@@ -76,6 +77,29 @@ def _known(sentence: Column) -> Column:
     return F.try_element_at(table, plain)
 
 
+def _identifiers(part: Column) -> Column:
+    """Identifiers, in order, of a text without ``END`` and ``PAUSE``.
+
+    All its lines may be one known sentence; else each known line is one, and the unknown lines
+    between two of them are tried as one sentence.
+    """
+    none = F.array().cast("array<string>")
+
+    def joined(state):
+        return F.concat(state["found"], F.array_compact(F.array(_known(state["rest"]))))
+
+    def add(state, line):
+        found = F.concat(joined(state), F.array(line["id"]))
+        return F.when(line["id"].isNull(), F.struct(
+            state["found"].alias("found"), F.concat(state["rest"], F.lit(" "), line["line"]).alias("rest"))
+        ).otherwise(F.struct(found.alias("found"), F.lit("").alias("rest")))
+
+    lines = F.transform(F.split(part, "\n"), lambda x: F.struct(_known(x).alias("id"), x.alias("line")))
+    by_line = F.aggregate(lines, F.struct(none.alias("found"), F.lit("").alias("rest")), add, joined)
+    whole = _known(part)
+    return F.when(whole.isNotNull(), F.array(whole)).when(part.contains("\n"), by_line).otherwise(none)
+
+
 def licenses(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Licences stated in each text.
 
@@ -89,11 +113,9 @@ def licenses(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     cued = low.contains(CUES[0])
     for cue in CUES[1:]:
         cued = cued | low.contains(cue)
-    # Wrapped lines: a line break inside a sentence is tried as a space as well.
-    found = F.array_compact(F.transform(F.split(text, END), _known))
-    joined = F.regexp_replace(text, r"([^\n.!?:;])[\x20\t\r]*\n[\x20\t]*([^\n])", "$1 $2")
-    wrapped = F.array_compact(F.transform(F.split(joined, END), _known))
-    ids = F.when(F.size(found) >= F.size(wrapped), found).otherwise(wrapped)
+    ids = F.flatten(F.transform(F.split(text, END), lambda part: F.when(
+        _known(part).isNotNull(), F.array(_known(part))
+    ).otherwise(F.flatten(F.transform(F.split(part, PAUSE), _identifiers)))))
     rows = df.select(F.col(id_col).alias("id"), F.when(cued, ids).otherwise(F.array().cast("array<string>")).alias("ids"))
     rows = rows.select("id", F.array_join("ids", ",").alias("sentences"))
     rest, names = F.concat(F.lit(","), F.replace("sentences", F.lit(","), F.lit(",,")), F.lit(",")), []
