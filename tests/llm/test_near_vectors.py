@@ -54,6 +54,18 @@ def test_links_and_components(spark):
     assert all(got[i][2] == (got[i][1] == i) for i in ids)
 
 
+def test_each_length_has_its_links(spark):
+    long, short, single = clustered(4, 6, 10, 0.3), clustered(6, 4, 10, 0.3, dim=16), [[1.0] * 5]
+    ids = np.random.default_rng(2).permutation(1_000)[: len(long) + len(short) + 1].tolist()
+    got = run(spark, ids, long + short + single)
+    assert len(got) == len(ids) and got[ids[-1]] == (0, ids[-1], True)
+    for own, vectors in ((ids[: len(long)], long), (ids[len(long) : -1], short)):
+        n_links, component = brute(own, vectors)
+        found = np.array([got[i][0] for i in own])
+        assert (found <= n_links).all() and found.sum() >= 0.98 * n_links.sum() > 0
+        assert np.mean([got[i][1] == c for i, c in zip(own, component)]) >= 0.97
+
+
 def test_repeated_rows_other_lengths_and_empty(spark):
     df = spark.createDataFrame(
         [(1, [1.0, 0.0], "a"), (1, [1.0, 0.0], "b"), (1, [0.0, 1.0], "c"), (None, [1.0, 0.01], "d"), (7, [1.0], "e"), (8, [], "f"), (9, [1e300, 0.0], "g")],

@@ -129,8 +129,8 @@ def near_vectors(
     counted has been verified or follows from the triangle inequality of angles; the tables
     miss some pairs near the least cosine (at most about 1 - ``RECALL`` of them).
 
-    Vectors that are null, zero, hold null or non-finite components or have another length than
-    most link with nothing.  Rows equal in id and vector are one vector; rows that share only the id are
+    Vectors that are null, zero or hold null or non-finite components link with nothing, and
+    vectors only with vectors of their length.  Rows equal in id and vector are one vector; rows that share only the id are
     vectors of their own.  Null ids count as the smallest.  An empty table gives an empty result.
     """
     spark = df.sparkSession
@@ -141,13 +141,15 @@ def near_vectors(
     top = F.array_max(F.transform("vec", lambda x: F.abs(x)))
     valid = named.where(F.col("vec").isNotNull() & (F.size("vec") > 0)).where(sound).where(top > 0).withColumn(
         "vec", F.transform("vec", lambda x: x / top))
-    lengths = valid.groupBy(F.size("vec").alias("size")).count().orderBy(F.desc("count"), "size").first()
+    # A length of one vector has no link.
+    lengths = valid.groupBy(F.size("vec").alias("size")).count().where("count > 1").orderBy("size").collect()
     half = math.acos(cosine) / 2
-    if lengths is None:
-        links = spark.createDataFrame([], "key long, n_links long, component long")
-    else:
-        valid = valid.where(F.size("vec") == lengths["size"])
-        links = _linked(valid, lengths["size"], lengths["count"], cosine, half, sample, seed)
+    links = spark.createDataFrame([], "key long, n_links long, component long")
+    if len(lengths) > 1:
+        valid = materialize(valid, "valid")
+    for length in lengths:  # each with a rotation of its own
+        own = valid.where(F.size("vec") == length["size"])
+        links = links.unionByName(_linked(own, length["size"], length["count"], cosine, half, sample, seed))
     result = named.select("key").join(links, "key", "left").select(
         "key", F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("component", "key").alias("component"))
     if rows is None:
