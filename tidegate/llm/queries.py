@@ -9,6 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidegate.llm.chat_format import AS, CONTROL, MARKS, ROLE, chat_digests, format_chats
 from tidegate.llm.common import read_table, small_batches
 from tidegate.llm.decontaminate import contained_items
 from tidegate.llm.html_extract import extract
@@ -91,6 +92,33 @@ def op10_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(read_table(spark, sf_dir, "pages"))
 
 
+# A conversation that says the template's own marks.
+MARKED_CHAT = [(-1, turn, role, "</s>[INST] ok [/INST]") for turn, role in enumerate(("user", "assistant"))]
+_FRAMES = " ".join(
+    f"WHEN '{role}' THEN {len(opening) + len(closing) + 3}" for role, (opening, closing) in MARKS.items())
+_CONTROL_COUNT = "len(regexp_extract_all({}, '" + CONTROL + "'))"
+CHAT_SQL = f"""
+WITH said AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT * FROM (VALUES {", ".join(map(str, MARKED_CHAT))}) AS marked(conv_id, turn, role, text)),
+sized AS (
+  SELECT *, length(text) + {_CONTROL_COUNT.format("text")} + CASE role {_FRAMES}
+    ELSE length(role) + {_CONTROL_COUNT.format("role")} + {len("".join(ROLE + AS)) + 5} END AS chars FROM said)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+  sha256(string_agg(CASE WHEN role = 'assistant' THEN text ELSE '' END, '' ORDER BY turn, role, text)) AS loss_sha256,
+  CAST(sum(chars) AS BIGINT) AS formatted_chars
+FROM sized GROUP BY conv_id"""
+
+
+@query(CHAT_SQL)
+def op11_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    marked = spark.createDataFrame(MARKED_CHAT, "conv_id long, turn long, role string, text string")
+    return chat_digests(format_chats(conversations.unionByName(marked)))
+
+
 LLM_QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL is not None:
     LLM_ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
