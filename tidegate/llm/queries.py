@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 import corpus_pipeline
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegate.llm.chat_format import AS, CONTROL, MARKS, ROLE, chat_digests, format_chats
@@ -14,6 +14,7 @@ from tidegate.llm.common import read_table, small_batches
 from tidegate.llm.decontaminate import contained_items
 from tidegate.llm.html_extract import extract
 from tidegate.llm.licenses import licenses
+from tidegate.llm.merkle import leaf_hash, merkle_manifest
 from tidegate.llm.mixing import mix
 from tidegate.llm.near_vectors import near_vectors
 from tidegate.llm.ngram_join import similar_documents
@@ -119,6 +120,62 @@ def op11_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_digests(format_chats(conversations.unionByName(marked)))
 
 
+def _merkle_sql(levels: int = 24, top_levels: int = 10) -> str:
+    """Level by level, for up to 2 ** levels rows of a language and 2 ** top_levels languages."""
+    def value(text: str) -> str:
+        return f"coalesce(octet_length(encode({text})) || ':' || {text}, '-')"
+
+    def leaf(n_chars: str) -> str:
+        return "sha256(" + " || ".join(map(value, ("id", "source", "lang", n_chars, "text"))) + ")"
+
+    steps = [
+        # The unsigned CRC-32 of the decimal id, bit by bit.
+        f"""rows AS (
+  SELECT doc_id, coalesce('=' || lang, '') AS tree, {leaf("chars")} AS leaf,
+    CASE WHEN xor(list_reduce(list_concat([4294967295], list_transform(range(1, length(id) + 1), lambda i: CAST(ascii(substr(id, i, 1)) AS BIGINT))),
+      lambda c, b: list_reduce(list_concat([xor(c, b)], range(8)), lambda d, i: CASE WHEN d % 2 = 1 THEN xor(d // 2, 3988292384) ELSE d // 2 END)), 4294967295) % 7 = 0
+      THEN {leaf("more")} ELSE {leaf("chars")} END AS claimed
+  FROM (SELECT *, CAST(doc_id AS VARCHAR) AS id, CAST(n_chars AS VARCHAR) AS chars, CAST(n_chars + 1 AS VARCHAR) AS more FROM documents))""",
+        """a0 AS MATERIALIZED (SELECT doc_id, claimed, leaf AS h, tree, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+  count(*) OVER (PARTITION BY tree) AS n FROM rows)""",
+    ]
+
+    def climb(name: str, count: int) -> None:
+        for k in range(count):
+            steps.append(f"""{name}{k + 1} AS MATERIALIZED (SELECT tree, pos // 2 AS pos, (max(n) + 1) // 2 AS n,
+  CASE WHEN max(n) = 1 THEN max(h) ELSE sha256(string_agg(h, '' ORDER BY pos)) END AS h FROM {name}{k} GROUP BY tree, pos // 2)""")
+
+    def fold(name: str, tree: str, count: int) -> None:
+        for k in range(count):
+            steps.append(f"""{name}{k + 1} AS MATERIALIZED (SELECT p.doc_id, p.leaf, p.tree, p.pos // 2 AS pos, (p.n + 1) // 2 AS n, p.proof || coalesce(s.h, '') AS proof,
+  CASE WHEN p.n = 1 THEN p.cur WHEN p.pos % 2 = 0 THEN sha256(p.cur || coalesce(s.h, '')) ELSE sha256(s.h || p.cur) END AS cur
+  FROM {name}{k} p LEFT JOIN {tree}{k} s ON s.tree = p.tree AND s.pos = p.pos + 1 - 2 * (p.pos % 2))""")
+
+    climb("a", levels)
+    steps.append(f"""t0 AS MATERIALIZED (SELECT 'all' AS tree, tree AS of, h, row_number() OVER (ORDER BY tree) - 1 AS pos, count(*) OVER () AS n FROM a{levels})""")
+    climb("t", top_levels)
+    steps.append("f0 AS MATERIALIZED (SELECT doc_id, h AS leaf, tree, pos, n, '' AS proof, claimed AS cur FROM a0)")
+    fold("f", "a", levels)
+    steps.append(f"""g0 AS MATERIALIZED (SELECT f.doc_id, f.leaf, 'all' AS tree, t.pos, t.n, f.proof, f.cur FROM f{levels} f JOIN t0 t ON t.of = f.tree)""")
+    fold("g", "t", top_levels)
+    return "WITH " + ",\n".join(steps) + f"""
+SELECT g.doc_id, g.leaf, a.h AS subroot, t.h AS root, sha256(g.proof) AS proof_sha256, g.cur AS folded_root, g.cur = t.h AS verified
+FROM g{top_levels} g JOIN f0 f ON f.doc_id IS NOT DISTINCT FROM g.doc_id AND f.leaf = g.leaf JOIN a{levels} a ON a.tree = f.tree CROSS JOIN t{top_levels} t"""
+
+
+@query(_merkle_sql())
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def fields(n_chars: Column) -> list[Column]:
+        return [F.col("doc_id"), F.col("source"), F.col("lang"), n_chars, F.col("text")]
+
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
+    manifest = merkle_manifest(
+        read_table(spark, sf_dir, "documents"), leaf_hash(fields(F.col("n_chars"))),
+        F.when(tampered, leaf_hash(fields(F.col("n_chars") + 1))))
+    return manifest.folded().withColumnRenamed("id", "doc_id").withColumn(
+        "verified", F.col("folded_root") == F.col("root"))
+
+
 LLM_QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL is not None:
     LLM_ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
