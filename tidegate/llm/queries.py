@@ -9,6 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidegate.llm.alignment import align_tokens
 from tidegate.llm.chat_format import AS, CONTROL, MARKS, ROLE, chat_digests, format_chats
 from tidegate.llm.common import read_table, small_batches
 from tidegate.llm.decontaminate import contained_items
@@ -176,6 +177,14 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
         "verified", F.col("folded_root") == F.col("root"))
 
 
+@query()
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, _ = align_tokens(
+        read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+        public_tokenizers.path("piece_bpe_32k.model"))
+    return documents
+
+
 LLM_QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL is not None:
     LLM_ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
