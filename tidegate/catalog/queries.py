@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidegate import functions as fn
@@ -18,7 +19,7 @@ from tidegate.plans.runs import load_batch, new_run, report_tables
 from tidegate.runtime import materialize, scratch_path
 from tidegate.sinks import StateStore, write_preview
 from tidegate.sinks.files import write_csv
-from tidegate.sources import NA_TOKENS, align_columns, incremental_scan, read_csv
+from tidegate.sources import NA_TOKENS, align_columns, incremental_scan, read_csv, scan_csv
 from tidegate.sources.tables import TABLES, alias_columns
 from tidegate.streaming import start_sync
 
@@ -95,9 +96,59 @@ _TOKENS = ", ".join(f"'{x}'" for x in NA_TOKENS)
 ) + " FROM {raw_address}"))
 def scan_csv_full(t: Tables) -> DataFrame:
     path = scratch_path(t.spark, "csv")
-    # One value of the sample ends in a line break, which a split CSV scan cannot hold.
-    write_csv(t("raw_address"), path)
-    return read_csv(t.spark, path, S.RAW_ADDRESS, multiline=True)
+    write_csv(t("raw_address"), path)  # phone numbers of the sample end in line breaks
+    return read_csv(t.spark, path, S.RAW_ADDRESS)
+
+
+def quoted(*names: str) -> Column:
+    """A CSV line of the columns, every value in quotes."""
+    values = [F.replace(F.coalesce(c, F.lit("")), F.lit('"'), F.lit('""')) for c in names]
+    return F.concat(F.lit('"'), F.concat_ws('","', *values), F.lit('"'))
+
+
+def write_lines(lines: DataFrame, header: Sequence[str], path: str) -> None:
+    """One file per task with the header first; ``lines`` has one column ``value``."""
+    spark = lines.sparkSession
+    head = spark.range(1).select(F.lit(",".join(header)).alias("value"), F.lit(0).alias("_at"))
+    whole = head.unionAll(lines.select("value", F.lit(1).alias("_at")))
+    whole.repartition(1).sortWithinPartitions("_at").select("value").write.text(path)
+
+
+@query(oracle("""
+    SELECT AN8, nullif(ALPH, '') AS ALPH, nullif(PH1, '') AS PH1, CASE WHEN m = 2 THEN NULL ELSE nullif(COUN, '') END AS COUN
+    FROM (SELECT *, coalesce(length(ALPH), 0) % 3 AS m FROM {raw_address}) s"""))
+def scan_csv_headers(t: Tables) -> DataFrame:
+    """Three files that name the same columns in three orders; the last lacks one."""
+    root = scratch_path(t.spark, "csv-headers")
+    orders = [["AN8", "ALPH", "PH1", "COUN"], ["COUN", "PH1", "ALPH", "AN8"], ["PH1", "TAX", "AN8", "ALPH"]]
+    raw = t("raw_address").withColumn("_m", F.coalesce(F.length("ALPH"), F.lit(0)) % 3)
+    for m, columns in enumerate(orders):
+        write_lines(raw.where(F.col("_m") == m).select(quoted(*columns).alias("value")), columns, f"{root}/file={m}")
+    return scan_csv(t.spark, root, S.RAW_ADDRESS).rows.select("AN8", "ALPH", "PH1", "COUN")
+
+
+@query(oracle("""
+    SELECT record, reason FROM (
+      SELECT CASE m WHEN 1 THEN c_custkey || ',a,' || c_name || ',more' ELSE '"' || c_custkey || '"x,' || c_name END AS record,
+             CASE m WHEN 1 THEN 'more fields than the header' ELSE 'text after a closing quote' END AS reason, m
+      FROM (SELECT *, c_custkey % 7 AS m FROM {customer}) s) r WHERE m IN (1, 2)
+    UNION ALL SELECT 'rows', cast(count(*) AS string) FROM {customer} WHERE c_custkey % 7 NOT IN (1, 2, 3)"""))
+def scan_csv_rejects(t: Tables) -> DataFrame:
+    """Records that do not fit their header, and the number of those that do; short ones and quoted breaks do."""
+    key, m = F.col("c_custkey").cast("string"), F.col("c_custkey") % 7
+    line = (
+        F.when(m == 1, F.concat(key, F.lit(",a,"), F.col("c_name"), F.lit(",more")))
+        .when(m == 2, F.concat(F.lit('"'), key, F.lit('"x,'), F.col("c_name")))
+        .when(m == 3, F.lit(" "))
+        .when(m == 4, F.concat(key, F.lit(',"two\n""lines"""')))
+        .when(m == 5, key)
+        .otherwise(F.concat(key, F.lit(',"a, b",'), F.col("c_name")))
+    )
+    path = scratch_path(t.spark, "csv-rejects")
+    write_lines(t("customer").select(line.alias("value")), ["AN8", "ALPH", "PH1"], path)
+    scan = scan_csv(t.spark, path, S.RAW_ADDRESS)
+    good = scan.rows.agg(F.count(F.lit(1)).cast("string").alias("reason"))
+    return scan.rejects.select("record", "reason").unionAll(good.select(F.lit("rows").alias("record"), "reason"))
 
 
 @query(oracle(f"""

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tidegate.schemas import UNIT_MAPPING, UNIT_MAPPING_COLUMNS
+from tidegate.sources.csv import scan_csv
 
 # Texts that pandas reads as missing.
 NA_TOKENS = (
@@ -17,6 +18,10 @@ NA_TOKENS = (
 )
 
 
+class MalformedRecords(ValueError):
+    """A CSV source holds records that cannot be read as its header says."""
+
+
 def align_columns(df: DataFrame, schema: StructType) -> DataFrame:
     """Exactly the declared columns: absent ones are null, undeclared ones dropped."""
     return df.select(*[
@@ -39,17 +44,18 @@ def read_csv(
     path: str | list[str],
     schema: StructType,
     na_tokens: Sequence[str] = NA_TOKENS,
-    multiline: bool = False,
 ) -> DataFrame:
-    """All-text CSV scan by header name.
+    """All-text CSV scan by header name (see ``scan_csv``) that refuses what it cannot parse.
 
-    Pass ``na_tokens=("",)`` where a token is real data (country code NA).  Files that
-    hold line breaks inside quotes need ``multiline``, which makes each file one task.
+    Pass ``na_tokens=("",)`` where a token is real data (country code NA).  Malformed records raise
+    ``MalformedRecords``; use ``scan_csv`` and ``null_tokens`` to keep them aside instead.
     """
-    raw = (
-        spark.read.option("header", True).option("escape", '"').option("multiLine", multiline).csv(path)
-    )
-    return null_tokens(align_columns(raw, schema), na_tokens)
+    scan = scan_csv(spark, path, schema)
+    counts = [f"{r['n']} x {r['reason']}" for r in scan.rejects.groupBy("reason").agg(
+        F.count(F.lit(1)).alias("n")).orderBy("reason").collect()]
+    if counts:
+        raise MalformedRecords(f"{path}: {', '.join(counts)}")
+    return null_tokens(scan.rows, na_tokens)
 
 
 def read_units_mapping(
