@@ -27,7 +27,7 @@ LOSS = "assistant"
 
 _PAIRS = [*MARKS.values(), ROLE, AS]
 CONTROL = "|".join(re.escape(mark) for pair in _PAIRS for mark in pair)
-_MARK = rf"(?<!\\)({CONTROL})"
+_MARK = rf"(?=[<\[])(?<!\\)({CONTROL})"
 
 
 def escape(text: Column) -> Column:
