@@ -80,19 +80,18 @@ def test_invalid_rows_do_not_hold_the_watermark(spark, store):
     assert store.watermark("customers") == (126001, 1)
 
 
-def test_limit_inside_a_tie_loses_no_row(spark, store):
+def test_limit_smaller_than_a_tie_ends(spark, store):
     flow = customer_flow()
-    raw = people(spark, (1, 126001, 1), (2, 126001, 2), (3, 126001, 2), (4, 126001, 2))
-    marks, outcomes = [], []
-    for _ in range(2):
+    raw = people(spark, (1, 126001, 1), *[(k, 126001, 2) for k in range(2, 7)])
+    marks = []
+    for _ in range(3):
         result = run_sync(flow, raw, store, limit=2)
         marks.append(result.watermark_after)
-        outcomes.append(result.records_loaded)
-    # The cut falls inside (126001, 2), so the watermark waits at (126001, 1).
-    assert marks == [(126001, 1), (126001, 1)]
-    rest = run_sync(flow, raw, store)
-    assert rest.watermark_after == (126001, 2)
-    assert values(stored(store, flow), "ref") == [("1",), ("2",), ("3",), ("4",)]
+        assert result.records_loaded == 2
+    # While the limit cuts (126001, 2), the watermark waits at (126001, 1).
+    assert marks == [(126001, 1), (126001, 1), (126001, 2)]
+    assert run_sync(flow, raw, store, limit=2).outcome == "NO_OP"
+    assert values(stored(store, flow), "ref") == [(str(k),) for k in range(1, 7)]
 
 
 def test_limit_between_change_times_advances(spark, store):
@@ -100,12 +99,26 @@ def test_limit_between_change_times_advances(spark, store):
     assert run_sync(customer_flow(), raw, store, limit=2).watermark_after == (126001, 2)
 
 
-def test_limit_advances_past_rows_without_a_change_time(spark, store):
-    raw = people(spark, (1, "soon", 1), (2, "soon", 1), (3, 126001, 1), (4, 126001, 2))
+def test_more_rows_without_a_change_time_than_the_limit(spark, store):
+    raw = people(spark, *[(k, "soon", 1) for k in range(1, 5)], (8, 126001, 1)).unionByName(
+        people(spark, (9, "soon", 1), PH1=None))
+    flow, read = customer_flow(), []
+    for _ in range(4):
+        result = run_sync(flow, raw, store, limit=2)
+        read.append(result.records_extracted)
+    assert read == [2, 2, 2, 0] and store.watermark("customers") == (126001, 1)
+    assert values(stored(store, flow), "ref") == [(k,) for k in ("1", "2", "3", "4", "8")]
+    # A changed row is another row.
+    changed = people(spark, (9, "soon", 1))
+    assert run_sync(flow, changed, store, limit=2).records_loaded == 1
+
+
+def test_a_rejected_batch_is_read_again(spark, store):
+    raw = people(spark, (1, "soon", 1), (2, "soon", 1), (3, "soon", 1))
+    refused = spark.createDataFrame([("1", "no")], "entity_id string, error string")
     flow = customer_flow()
-    assert run_sync(flow, raw, store, limit=2).watermark_after == (126001, 2)
+    assert run_sync(flow, raw, store, limit=2, rejections=refused).load_failed == 1
     assert run_sync(flow, raw, store, limit=2).records_loaded == 2
-    assert stored(store, flow).count() == 4
 
 
 def test_insert_only_keeps_the_target(spark, store):

@@ -724,17 +724,30 @@ def load_apply_created(t: Tables) -> DataFrame:
     )
 
 
+_BATCHES = 3
+
+
 @query(oracle("""
-    SELECT 'customer' AS entity_type, entity_id, cast(attempt_number AS int) AS attempt_number,
+    SELECT log_id, 'customer' AS entity_type, entity_id, cast(attempt_number AS int) AS attempt_number,
            _source_key AS an8, status, target_id, error, name AS record_name
-    FROM {customer_outcomes} WHERE status <> 'SKIPPED'"""))
+    FROM (SELECT *, row_number() OVER (ORDER BY _source_key % """ + str(_BATCHES) + """, _upmj NULLS FIRST, _upmt NULLS FIRST, _source_key)
+            AS log_id FROM {customer_outcomes} WHERE status <> 'SKIPPED') s"""))
 def load_log_rows(t: Tables) -> DataFrame:
+    """The log of three commits: ids go on from one to the next without gaps."""
     store = StateStore(t.spark, scratch_path(t.spark, "state"))
-    store.append_log(load.log_rows(
-        outcomes(t), "customer", "batch", F.lit("2024-02-01 00:00:00").cast("timestamp")
-    ))
+    planned = materialize(outcomes(t), "outcomes")
+    for part in range(_BATCHES):
+        rows = planned.where(F.pmod("_source_key", F.lit(_BATCHES)) == part)
+        commit = store.begin(f"batch {part}")
+        high = commit.high("load_log")
+        logged = materialize(load.log_rows(
+            rows, "customer", "batch", F.lit("2024-02-01 00:00:00").cast("timestamp"), high), "log")
+        commit.append("load_log", logged, "entity_id", S.LOAD_LOG, high + logged.count())
+        commit.publish()
+        # Rows that no commit publishes leave no gap.
+        store.begin("lost").append("load_log", logged, "entity_id", S.LOAD_LOG, high + 1_000_000)
     return store.load_log().select(
-        "entity_type", "entity_id", "attempt_number", "an8", "status", "target_id", "error",
+        "log_id", "entity_type", "entity_id", "attempt_number", "an8", "status", "target_id", "error",
         "record_name",
     )
 
@@ -761,6 +774,63 @@ def load_rerun_idempotent(t: Tables) -> DataFrame:
     return reduce(DataFrame.unionByName, tallies).withColumnRenamed("count", "rows")
 
 
+@query(oracle("""
+    SELECT cast(_source_key AS varchar) AS ref, name FROM {valid_customers}
+    UNION ALL SELECT 'limited runs', cast(3 AS varchar)"""))
+def sync_limit_unknown_times(t: Tables) -> DataFrame:
+    """Two limited runs and a last one for the rest; a source without any readable change time comes to an end."""
+    store, flow = StateStore(t.spark, scratch_path(t.spark, "state")), customer_flow()
+    raw = materialize(t("raw_address").withColumn("UPMJ", F.when(F.length("AN8") > 3, F.lit("soon"))), "raw")
+    limit, runs = raw.count() // 2 + 1, 0
+    while run_sync(flow, raw, store, limit=limit).outcome != "NO_OP":
+        runs += 1
+    target = store.current_target(flow.entity, flow.target_schema).select("ref", "name")
+    return target.unionAll(t.spark.range(1).select(
+        F.lit("limited runs").alias("ref"), F.lit(str(runs + 1)).alias("name")))
+
+
+class Cut(Exception):
+    """A run that ends in the middle of its writes."""
+
+
+@query(oracle("""
+    SELECT cast(_source_key AS varchar) AS entity_id, id, id AS log_id, 1 AS attempt_number, true AS hashed, 124300 AS last_upmj
+    FROM (SELECT *, row_number() OVER (ORDER BY _upmj NULLS FIRST, _upmt NULLS FIRST, _source_key) AS id
+          FROM {valid_customers}) v"""))
+def load_cut_and_replayed(t: Tables) -> DataFrame:
+    """A batch cut before its first write, before its second, and so on, then run whole: as if never cut."""
+    root, flow = scratch_path(t.spark, "state"), customer_flow()
+    valid = materialize(valid_customers(t), "valid")
+    for writes in (0, 1, 2, 3, 4, None):
+        left = iter(range(writes)) if writes is not None else None
+
+        def on_step(step: str, left=left) -> None:
+            if left is not None and next(left, None) is None:
+                raise Cut(step)
+
+        store = StateStore(t.spark, root, on_step=on_step)
+        try:
+            load_batch(flow, valid, store, *new_run(), reached=(124300, 1))
+        except Cut:
+            continue
+    target = store.current_target(flow.entity, flow.target_schema).select(F.col("ref").alias("entity_id"), "id")
+    current = store.current(flow.entity).select("entity_id", F.col("last_hash").isNotNull().alias("hashed"))
+    logged = store.load_log().select("log_id", "entity_id", "attempt_number")
+    mark = store.watermarks().select("last_upmj")
+    return target.join(current, "entity_id", "full_outer").join(logged, "entity_id", "full_outer").join(mark)
+
+
+@query(oracle("""
+    SELECT entity_id, count_if(status = 'LOADED') > 0 AS was_loaded, cast(max(attempt_number) AS int) AS attempts
+    FROM {log} WHERE entity_type = 'customer' GROUP BY entity_id"""))
+def state_adopted(t: Tables) -> DataFrame:
+    """An existing log taken over: the current state answers what the log was aggregated for."""
+    store, flow = StateStore(t.spark, scratch_path(t.spark, "state")), customer_flow()
+    target = align_columns(t("target_partner"), flow.target_schema)
+    store.adopt(flow.entity, align_columns(t("load_log"), S.LOAD_LOG), target, flow.target_schema, "ref")
+    return store.current(flow.entity).where("attempts > 0").select("entity_id", "was_loaded", "attempts")
+
+
 # Whole runs.
 
 @query(oracle("""
@@ -881,8 +951,17 @@ def change_detection(t: Tables) -> DataFrame:
     UNION ALL
     SELECT NULL, entity_id, name, phone, city FROM {conflict_kinds} WHERE change = 'insert'"""))
 def conflict_apply(t: Tables) -> DataFrame:
-    decided = conflict.decide(conflict_inputs(t), S.SOURCE_WINS)
-    return conflict.apply_decisions(decided, t("target_partner"), ["name", "phone", "city"], "ref")
+    """On a stored target, of which only the buckets with a change are written."""
+    store, fields = StateStore(t.spark, scratch_path(t.spark, "state"), buckets=64), ["name", "phone", "city"]
+    target = t("target_partner").select("id", "ref", *fields)
+    commit = store.begin("target")
+    commit.append("target_partner", target, "ref", target.schema)
+    commit.publish()
+    decided = materialize(conflict.decide(conflict_inputs(t), S.SOURCE_WINS), "decided")
+    commit = store.begin("decisions")
+    commit.apply("target_partner", decided, fields, "ref", target.schema)
+    commit.publish()
+    return store.read("target_partner", target.schema)
 
 
 def _two_syncs(t: Tables, strategy: str) -> StateStore:

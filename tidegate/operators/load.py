@@ -175,15 +175,22 @@ def assign_target_ids(outcomes: DataFrame, target: DataFrame) -> DataFrame:
 
     The greatest id is read here, once: rows appended to the target later do not move it.
     """
-    base = F.lit(target.agg(F.coalesce(F.max("id"), F.lit(0)).cast("bigint")).first()[0])
-    created = outcomes.where("created").drop("target_id")
-    return number_rows(created, ORDER, base, "target_id")
+    return number_created(outcomes, target.agg(F.coalesce(F.max("id"), F.lit(0)).cast("bigint")).first()[0])
 
 
-def log_rows(outcomes: DataFrame, entity: str, batch_id: str, run_at: Column) -> DataFrame:
-    """Load-log rows of a batch.  Skipped rows are not logged again."""
-    return outcomes.where(F.col("status") != SKIPPED).select(
-        F.lit(None).cast("bigint").alias("log_id"),
+def number_created(outcomes: DataFrame, greatest: int) -> DataFrame:
+    """Created rows with target ids that follow ``greatest`` in processing order."""
+    return number_rows(outcomes.where("created").drop("target_id"), ORDER, F.lit(greatest), "target_id")
+
+
+def log_rows(outcomes: DataFrame, entity: str, batch_id: str, run_at: Column, greatest: int = 0) -> DataFrame:
+    """Load-log rows of a batch, with log ids that follow ``greatest`` in processing order, without gaps.
+
+    Skipped rows are not logged again.
+    """
+    logged = outcomes.where(F.col("status") != SKIPPED)
+    return number_rows(logged, ORDER, F.lit(greatest), "_log_id").select(
+        F.col("_log_id").cast("bigint").alias("log_id"),
         F.lit(batch_id).alias("batch_id"),
         "attempt_number",
         F.col("_source_key").alias("an8"),

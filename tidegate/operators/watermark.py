@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidegate.functions import parse_long
@@ -112,6 +112,25 @@ def current_watermark(state: DataFrame, tables: DataFrame) -> DataFrame:
     )
 
 
+def nth_change_time(df: DataFrame, n: int, date: str = "_upmj", time: str = "_upmt") -> tuple[int, int] | None:
+    """Change time of the n-th row in order of change time; None if fewer rows have one.
+
+    Found from counts, first of days and then of the times of one day, so no row is moved or sorted.
+    """
+    place: list[int] = []
+    rows, left = df.where(F.col(date).isNotNull() & F.col(time).isNotNull()), n
+    for part in (date, time):
+        so_far = F.sum("_n").over(Window.orderBy(part).rowsBetween(Window.unboundedPreceding, 0))
+        counts = rows.groupBy(part).agg(F.count(F.lit(1)).alias("_n"))
+        found = counts.select(part, "_n", so_far.alias("_to")).where(F.col("_to") >= left).orderBy("_to").first()
+        if found is None:
+            return None
+        place.append(found[part])
+        left -= found["_to"] - found["_n"]
+        rows = rows.where(F.col(part) == found[part])
+    return place[0], place[1]
+
+
 def first_changes(
     df: DataFrame, order: list[str], n: int | None, unknown_last: Column | None = None
 ) -> DataFrame:

@@ -14,16 +14,20 @@ from pyspark.sql import functions as F
 from tidegate import schemas as S
 from tidegate.functions import content_hash
 from tidegate.operators import conflict, load, report
+from tidegate.operators.keys import unique_lookup
+from tidegate.operators.numbering import number_rows
 from tidegate.operators.validate import failed_rows, valid_rows
 from tidegate.operators.watermark import (
     after_watermark,
-    first_changes,
+    changed_after,
     latest_change,
+    nth_change_time,
     with_change_time,
 )
 from tidegate.plans.flows import TableFlow
-from tidegate.runtime import materialize
+from tidegate.runtime import fits_broadcast, materialize
 from tidegate.sinks import StateStore, write_preview, write_report
+from tidegate.sinks.state import watermark_row
 
 Mark = tuple[int, int]
 Raw = DataFrame | Callable[[int, int], DataFrame]
@@ -60,37 +64,80 @@ def run_moment(run_at: str) -> Column:
     return F.lit(f"{run_at} UTC").cast("timestamp")
 
 
-def extract(raw: Raw, flow: TableFlow, mark: Mark, limit: int | None) -> tuple[DataFrame, DataFrame]:
-    """(batch, everything past the watermark), the batch cut to ``limit`` in contract order.
+@dataclass(frozen=True)
+class Extract:
+    """A stored batch, the watermark it reaches, and the rows in it that this watermark does not cover."""
+
+    batch: DataFrame
+    reached: Mark
+    seen: DataFrame | None = None
+
+
+def past_watermark(raw: Raw, mark: Mark) -> DataFrame:
+    """Rows changed after the watermark.
 
     ``raw`` is the source as text columns, or a function of the watermark that reads it,
     for a source that filters on typed columns itself.
     """
     if callable(raw):
-        changed = with_change_time(raw(*mark))
-    else:
-        changed = after_watermark(with_change_time(raw), *mark)
-    rest = [f.name for f in flow.raw_schema if f.name != flow.key]
-    # Every sync reads rows without a change time, so first they would use up the limit each time.
-    unknown = F.col("_upmj").isNull() | F.col("_upmt").isNull()
-    batch = first_changes(changed, ["_upmj", "_upmt", flow.key, *rest], limit, unknown)
-    return batch, changed
+        return with_change_time(raw(*mark))
+    return after_watermark(with_change_time(raw), *mark)
+
 
+def extract(raw: Raw, flow: TableFlow, mark: Mark, limit: int | None, seen: DataFrame | None = None) -> Extract:
+    """Everything past the watermark, or the first ``limit`` rows of it in contract order.
 
-def next_watermark(batch: DataFrame, changed: DataFrame, mark: Mark, limit: int | None) -> Mark:
-    """Greatest change time of the batch.
+    Rows without a change time come last.  ``seen`` are rows that earlier limited runs have read although the
+    watermark has not passed them: those without a change time, and those of a change time that the limit cut.
+    They are left out, so limited runs end whatever the limit is.
 
-    When a limit cut rows off in the middle of that change time, the watermark stays at
-    the last change time that was read completely, so the next run sees the rest.
+    The source is read for counts of its change times and for the rows up to the one that the limit
+    reaches, which are stored; the batch and the watermark are made from the stored rows alone.
     """
-    found = tuple(latest_change(batch, *mark).first())
-    if not limit or found == mark:
-        return found
-    at = (F.col("_upmj") == found[0]) & (F.col("_upmt") == found[1])
-    if batch.where(at).count() == changed.where(at).count():
-        return found
-    earlier = batch.where(~F.coalesce(at, F.lit(False)))
-    return tuple(latest_change(earlier, *mark).first())
+    changed = past_watermark(raw, mark)
+    if not limit:
+        batch = materialize(changed, "batch")
+        return Extract(batch, tuple(latest_change(batch, *mark).first()))
+
+    columns = [f.name for f in flow.raw_schema]
+    order = ["_upmj", "_upmt", flow.key, *[c for c in columns if c != flow.key]]
+    row_hash = F.sha2(F.to_json(F.struct(*columns)), 256)
+    skip = 0
+    if seen is not None:
+        seen = seen.where(F.coalesce(changed_after(F.col("upmj"), F.col("upmt"), *mark), F.lit(True)))
+        skip = seen.count()
+    last = nth_change_time(changed, limit + skip)
+    pool = changed if last is None else changed.where(up_to(last))
+    pool = pool.select("*", row_hash.alias("_raw_hash"))
+    if skip:
+        known = seen.select(F.col("row_hash").alias("_raw_hash")).distinct()
+        pool = pool.join(F.broadcast(known) if fits_broadcast(known) else known, "_raw_hash", "left_anti")
+    pool = materialize(pool, "pool")
+
+    last = nth_change_time(pool, limit)
+    timed = F.col("_upmj").isNotNull() & F.col("_upmt").isNotNull()
+    whole = pool.where(timed if last is None else changed_before(last))
+    edge = pool.where(~timed if last is None else (F.col("_upmj") == last[0]) & (F.col("_upmt") == last[1]))
+    room = limit - whole.count()
+    cut = edge.count() > room
+    if cut:  # only rows of one change time are ever sorted
+        edge = number_rows(edge, order, F.lit(0), "_place").where(F.col("_place") <= room).drop("_place")
+    batch = materialize(whole.unionByName(edge), "batch")
+    covered = batch.where(changed_before(last)) if cut and last is not None else batch
+    left = batch.where(~timed if last is None or not cut else ~timed | ~changed_before(last))
+    return Extract(
+        batch.drop("_raw_hash"), tuple(latest_change(covered, *mark).first()),
+        left.select(F.col("_raw_hash").alias("row_hash"), F.col("_upmj").alias("upmj"), F.col("_upmt").alias("upmt")))
+
+
+def changed_before(mark: Mark) -> Column:
+    """Strictly before the change time; never for rows without one."""
+    return F.coalesce(
+        (F.col("_upmj") < mark[0]) | ((F.col("_upmj") == mark[0]) & (F.col("_upmt") < mark[1])), F.lit(False))
+
+
+def up_to(mark: Mark) -> Column:
+    return (F.col("_upmj") < mark[0]) | ((F.col("_upmj") == mark[0]) & (F.col("_upmt") <= mark[1]))
 
 
 def load_batch(
@@ -101,25 +148,30 @@ def load_batch(
     run_at: str,
     rejections: DataFrame | None = None,
     on_existing: str | None = None,
+    reached: Mark | None = None,
+    seen: DataFrame | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Load valid rows; return (outcomes, history before this batch).
 
     Without ``on_existing`` the load only inserts.  With a conflict strategy, rows whose
     key is in the target already are compared by content hash and updated, kept or
     flagged.  Each decision is kept in the store's ``conflicts`` table.
+
+    Target rows, log, current state, decisions and, if the target rejects nothing, ``reached`` as the new
+    watermark and the ``seen`` rows beyond it become visible together.  A run that ends before that has changed nothing.
     """
     moment = run_moment(run_at)
     version = F.unix_micros(moment)
     keys = load.with_entity_id(valid).select("entity_id")
-    log = load.only_keys(store.load_log(), keys)
-    target = store.target(flow.entity, flow.target_schema)
-    history = materialize(load.log_history(log, flow.entity), "history")
-    existing = materialize(
-        load.target_ids(load.only_keys(target, keys, flow.ref), flow.ref), "existing"
-    )
+    commit = store.begin(batch_id)
+    current = store.current(flow.entity, store.buckets_of(keys, "entity_id"), commit.at)
+    known = materialize(load.only_keys(current, keys), "known")
+    history = known.select("entity_id", "was_loaded", "last_id", "attempts")
+    existing = known.where("existing_id IS NOT NULL").select("entity_id", "existing_id")
     planned = materialize(load.plan_load(valid, history, existing, rejections), "plan")
-    created = load.assign_target_ids(planned, target)
-    outcomes = planned.where(~F.col("created")).unionByName(created)
+    target_table = f"target_{flow.entity}"
+    created = load.number_created(planned, commit.high(target_table))
+    outcomes = materialize(planned.where(~F.col("created")).unionByName(created), "outcomes")
 
     fields = [f.name for f in flow.target_schema if f.name not in ("id", "version")]
 
@@ -127,42 +179,62 @@ def load_batch(
         payload = flow.payload(rows)
         return payload.select(*fields, F.col("target_id").alias("id"), version.alias("version"))
 
-    def hash_rows(rows: DataFrame) -> DataFrame:
-        return rows.select(
-            "entity_id",
-            content_hash(rows, flow.hash_fields).alias("content_hash"),
-            moment.alias("run_at"),
-            F.lit(flow.entity).alias("entity_type"),
-        )
-
     new = outcomes.where("created")
-    store.append_target(flow.entity, target_rows(new))
-    store.append_hashes(hash_rows(new))
-    store.append_log(load.log_rows(outcomes, flow.entity, batch_id, moment))
+    counted = outcomes.agg(
+        F.max(F.when(F.col("created"), F.col("target_id"))).alias("last_id"),
+        F.count_if(F.col("status") != S.SKIPPED).alias("logged"),
+        F.count_if(F.col("status") == S.FAILED).alias("failed"),
+        F.count_if(F.col("status") == S.LOADED).alias("loaded"),
+    ).first()
+    written = target_rows(new)
+    hashes = new.select("entity_id", content_hash(new, flow.hash_fields).alias("_hash"))
 
     if on_existing is not None:
-        known = outcomes.where(~F.col("created") & F.col("status").isin(S.SKIPPED, S.LOADED))
-        hashed = known.select("*", content_hash(known, flow.hash_fields).alias("content_hash"))
+        found = outcomes.where(~F.col("created") & F.col("status").isin(S.SKIPPED, S.LOADED))
+        hashed = found.select("*", content_hash(found, flow.hash_fields).alias("content_hash"))
         decided = conflict.decide(
-            conflict.conflict_inputs(
-                hashed, existing, load.only_keys(store.last_hashes(flow.entity), keys)
-            ),
-            on_existing,
-        )
-        # Stored before anything is written: the hashes it compares are about to change.
+            conflict.conflict_inputs(hashed, existing, known.select("entity_id", "last_hash")), on_existing)
         decided = materialize(decided.where("change != 'insert'"), "decided")
-        store.append_conflicts(decided.select(
+        commit.append("conflicts", decided.select(
             F.lit(batch_id).alias("batch_id"), F.lit(flow.entity).alias("entity_type"), "entity_id",
             F.col("existing_id").alias("target_id"), "change", "action", "reason", "strategy",
             "content_hash", "last_hash", moment.alias("run_at"),
-        ))
+        ), "entity_id", S.CONFLICTS)
         updates = decided.where(F.col("action") == S.UPDATE).withColumn(
             "target_id", F.col("existing_id"))
-        store.append_target(flow.entity, target_rows(updates))
-        store.append_hashes(hash_rows(updates))
+        written = written.unionByName(target_rows(updates))
+        hashes = hashes.unionByName(updates.select("entity_id", F.col("content_hash").alias("_hash")))
+
+    commit.append(target_table, written, flow.ref, flow.target_schema, counted["last_id"])
+    logged = load.log_rows(outcomes, flow.entity, batch_id, moment, commit.high("load_log"))
+    commit.append("load_log", logged, "entity_id", S.LOAD_LOG, commit.high("load_log") + counted["logged"])
+    changed = current_rows(outcomes, known, materialize(hashes, "hashes"))
+    commit.merge(f"current_{flow.entity}", materialize(changed, "current"), "entity_id", S.CURRENT_STATE)
+    if reached is not None and counted["failed"] == 0:
+        commit.append("watermarks", watermark_row(
+            store.spark, flow.table_name, reached, F.lit(counted["loaded"]), moment), "table_name", S.WATERMARK_STATE)
+        if seen is not None:
+            commit.append(f"seen_{flow.table_name}", seen, "row_hash", S.SEEN_ROWS)
+    commit.publish()
     return outcomes, history
 
 
+def current_rows(outcomes: DataFrame, known: DataFrame, hashes: DataFrame) -> DataFrame:
+    """State of each entity that a batch logged or wrote, after the batch."""
+    kept = ["entity_id", "status", "target_id", "created", "attempt_number"]
+    rows = unique_lookup(outcomes.select(*kept), known, ["entity_id"], left_is_unique=True)
+    rows = unique_lookup(rows, hashes, ["entity_id"], left_is_unique=True)
+    logged, loaded = F.col("status") != S.SKIPPED, F.col("status") == S.LOADED
+    return rows.where(logged | F.col("_hash").isNotNull()).select(
+        "entity_id",
+        (F.coalesce("was_loaded", F.lit(False)) | loaded).alias("was_loaded"),
+        F.when(loaded & F.col("target_id").isNotNull(), F.col("target_id")).otherwise(F.col("last_id")).alias("last_id"),
+        F.when(logged, F.col("attempt_number")).otherwise(F.col("attempts")).alias("attempts"),
+        F.coalesce("existing_id", F.when(F.col("created"), F.col("target_id"))).alias("existing_id"),
+        F.coalesce("_hash", "last_hash").alias("last_hash"),
+    )
+
+
 def report_tables(
     flow: TableFlow,
     validated: DataFrame,
@@ -196,8 +268,13 @@ def process_batch(
     source: str = "sync",
     report_root: str | None = None,
     preview_root: str | None = None,
+    reached: Mark | None = None,
+    seen: DataFrame | None = None,
 ) -> SyncResult:
-    """Transform, validate and load one non-empty raw batch, filling ``result``."""
+    """Transform, validate and load one non-empty raw batch, filling ``result``.
+
+    ``reached`` is the watermark to store with the batch unless the target rejects a row.
+    """
     validated = materialize(flow.validate(flow.transform(batch)), "validated")
     counts = report.run_counts(validated).first()
     result.records_extracted = counts["extracted"]
@@ -212,7 +289,7 @@ def process_batch(
             [*preview, *S.FAILURE_COLUMNS],
         )
 
-    outcomes, history = None, load.log_history(store.load_log(), flow.entity)
+    outcomes, history = None, store.current(flow.entity).select("entity_id", "was_loaded", "last_id", "attempts")
     if dry_run:
         result.outcome = "DRY_RUN"
         result.message = (
@@ -220,7 +297,7 @@ def process_batch(
         )
     else:
         outcomes, history = load_batch(
-            flow, valid_rows(validated), store, batch_id, run_at, rejections, on_existing
+            flow, valid_rows(validated), store, batch_id, run_at, rejections, on_existing, reached, seen
         )
         counted = load.run_outcome(load.load_summary(outcomes)).first()
         result.outcome = counted["outcome"]
@@ -229,6 +306,8 @@ def process_batch(
         result.records_skipped = counted["skipped"]
         result.load_failed = counted["failed"]
         result.not_processed = counted["not_processed"]
+        if reached is not None and result.load_failed == 0:
+            result.watermark_after = reached
         result.message = (
             f"{result.outcome}: extracted {result.records_extracted}, "
             f"valid {result.records_valid}, loaded {result.records_loaded}, "
@@ -278,22 +357,16 @@ def run_sync(
     mark = store.watermark(flow.table_name)
     result = SyncResult(flow.table_name, watermark_before=mark)
 
-    # Stored once: every later pass sees the same snapshot of a source that may change.
-    extracted, changed = extract(raw, flow, mark, limit)
-    batch = materialize(extracted, "batch")
-    if batch.isEmpty():
+    seen = store.read(f"seen_{flow.table_name}", S.SEEN_ROWS) if limit else None
+    taken = extract(raw, flow, mark, limit, seen)
+    if taken.batch.isEmpty():
         result.message = f"Nothing changed after ({mark[0]}, {mark[1]})"
     else:
         process_batch(
-            flow, batch, store, result, batch_id, run_at, dry_run, rejections, on_existing,
+            flow, taken.batch, store, result, batch_id, run_at, dry_run, rejections, on_existing,
             report_root=None if dry_run else report_root,
+            reached=None if dry_run else taken.reached, seen=taken.seen,
         )
-        if not dry_run and result.load_failed == 0:
-            reached = next_watermark(batch, changed, mark, limit)
-            store.set_watermark(
-                flow.table_name, *reached, result.records_loaded, run_moment(run_at)
-            )
-            result.watermark_after = reached
     result.duration_seconds = time.monotonic() - started
     return result
 
@@ -312,7 +385,7 @@ def run_migration(
     started = time.monotonic()
     batch_id, run_at = new_run()
     result = SyncResult(flow.table_name)
-    batch = materialize(extract(raw, flow, (0, 0), limit)[0], "batch")
+    batch = extract(raw, flow, (0, 0), limit).batch
     process_batch(
         flow, batch, store, result, batch_id, run_at, dry_run, rejections, None,
         source=source, report_root=output_root, preview_root=output_root if dry_run else None,

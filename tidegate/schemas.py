@@ -45,11 +45,21 @@ LOAD_LOG = T.StructType([
     T.StructField("entity_type", T.StringType()),
 ])
 
-CONTENT_HASHES = T.StructType([
+# What the next batch has to know of an entity.
+CURRENT_STATE = T.StructType([
     T.StructField("entity_id", T.StringType()),
-    T.StructField("content_hash", T.StringType()),
-    T.StructField("run_at", T.TimestampType()),
-    T.StructField("entity_type", T.StringType()),
+    T.StructField("was_loaded", T.BooleanType()),
+    T.StructField("last_id", T.LongType()),
+    T.StructField("attempts", T.IntegerType()),
+    T.StructField("existing_id", T.LongType()),
+    T.StructField("last_hash", T.StringType()),
+])
+
+# Rows that a limited sync has read although the watermark has not passed them.
+SEEN_ROWS = T.StructType([
+    T.StructField("row_hash", T.StringType()),
+    T.StructField("upmj", T.LongType()),
+    T.StructField("upmt", T.LongType()),
 ])
 
 CONFLICTS = T.StructType([

@@ -1,6 +1,6 @@
 """Previews, reports and the state tables of a deployment."""
 
 from tidegate.sinks.files import write_preview, write_report
-from tidegate.sinks.state import StateStore
+from tidegate.sinks.state import Commit, StateStore
 
-__all__ = ["StateStore", "write_preview", "write_report"]
+__all__ = ["Commit", "StateStore", "write_preview", "write_report"]

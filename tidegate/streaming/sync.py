@@ -10,7 +10,7 @@ from pyspark.sql.streaming.query import StreamingQuery
 from tidegate.operators.validate import Rule, apply_rules
 from tidegate.operators.watermark import with_change_time
 from tidegate.plans.flows import TableFlow
-from tidegate.plans.runs import SyncResult, new_run, next_watermark, process_batch, run_moment
+from tidegate.plans.runs import SyncResult, new_run, next_watermark, process_batch
 from tidegate.runtime import materialize
 from tidegate.sinks import StateStore
 
@@ -44,14 +44,9 @@ def start_sync(
         mark = store.watermark(flow.table_name)
         result = SyncResult(flow.table_name, watermark_before=mark)
         process_batch(
-            flow, batch, store, result, f"{epoch}-{run_id}", run_at, on_existing=on_existing
+            flow, batch, store, result, f"{epoch}-{run_id}", run_at, on_existing=on_existing,
+            reached=next_watermark(batch, batch, mark, None),
         )
-        if result.load_failed == 0:
-            result.watermark_after = next_watermark(batch, batch, mark, None)
-            store.set_watermark(
-                flow.table_name, *result.watermark_after, result.records_loaded,
-                run_moment(run_at),
-            )
         if on_result is not None:
             on_result(result)
 
