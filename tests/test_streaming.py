@@ -4,7 +4,7 @@ from tidegate.operators.transform import transform_customers
 from tidegate.operators.validate import customer_row_rules
 from tidegate.plans import customer_flow
 from tidegate.schemas import RAW_ADDRESS
-from tidegate.streaming import start_sync, validate_stream
+from tidegate.streaming import start_sync, sync_epoch, validate_stream
 
 
 def stream(spark, path):
@@ -20,7 +20,7 @@ def test_micro_batches_load_each_key_once(spark, store, tmp_path):
     def run(checkpoint):
         start_sync(
             stream(spark, landing), flow, store, str(tmp_path / checkpoint),
-            on_result=results.append,
+            on_result=results.append, trigger={"availableNow": True},
         ).awaitTermination()
 
     land({"AN8": "1", "UPMJ": "126001"}, {"AN8": "2", "UPMJ": "126002"})
@@ -42,6 +42,27 @@ def test_micro_batches_load_each_key_once(spark, store, tmp_path):
     assert values(target, "ref", "id") == [("1", 1), ("2", 2), ("4", 3)]
 
 
+def test_refused_rows_wait_in_order(spark, store):
+    flow = customer_flow()
+    refused = spark.createDataFrame([("2", "locked")], "entity_id string, error string")
+    first = customers(spark, {"AN8": "1", "UPMT": "1"}, {"AN8": "2", "UPMT": "2"}, {"AN8": "3", "UPMT": "3"})
+    result = sync_epoch(flow, store, first, "s:0", refused)
+    assert (result.records_loaded, result.load_failed, result.not_processed) == (1, 1, 1)
+    # Still refused; a newer version of a waiting row takes its place.
+    second = customers(spark, {"AN8": "3", "UPMT": "9", "ALPH": "Newer"})
+    result = sync_epoch(flow, store, second, "s:1", refused)
+    assert (result.records_retried, result.load_failed, result.not_processed) == (1, 1, 1)
+    assert store.watermark("customers") == (0, 0)
+    again = sync_epoch(flow, store, second, "s:1", refused)
+    assert again.outcome == "REPLAYED"
+    result = sync_epoch(flow, store, customers(spark, {"AN8": "4", "UPMT": "4"}), "s:2")
+    assert (result.records_retried, result.records_loaded) == (2, 3)
+    assert values(store.target(flow.entity, flow.target_schema), "ref", "id", "name") == [
+        ("1", 1, "Harbour Tools"), ("2", 2, "Harbour Tools"), ("3", 4, "Newer"), ("4", 3, "Harbour Tools")]
+    assert values(store.load_log().where("entity_id = '2'"), "attempt_number", "status") == [
+        (1, "FAILED"), (2, "FAILED"), (3, "LOADED")]
+
+
 def test_row_rules_on_a_stream(spark, tmp_path):
     landing = str(tmp_path / "in")
     customers(spark, {"AN8": "1"}, {"AN8": "2", "CTY1": None}).write.parquet(landing)

@@ -21,7 +21,7 @@ from tidegate.sinks import StateStore, write_preview
 from tidegate.sinks.files import write_csv
 from tidegate.sources import NA_TOKENS, align_columns, incremental_scan, read_csv, scan_csv
 from tidegate.sources.tables import TABLES, alias_columns
-from tidegate.streaming import start_sync
+from tidegate.streaming import start_sync, sync_epoch
 
 CUSTOMER_LIST = ", ".join(S.CUSTOMER_COLUMNS)
 ITEM_LIST = ", ".join(S.ITEM_COLUMNS)
@@ -873,6 +873,53 @@ def stream_sync_log(t: Tables) -> DataFrame:
     return store.load_log().select("entity_id", "status", "record_name")
 
 
+def _landed(t: Tables, parts: int) -> str:
+    """The raw customers in so many files, copies of a key in one of them."""
+    path = scratch_path(t.spark, "landing")
+    raw = materialize(t("raw_address").withColumn("_part", F.pmod(F.coalesce(fn.parse_long(F.col("AN8")), F.lit(0)), F.lit(parts))), "raw")
+    for part in range(parts):
+        raw.where(F.col("_part") == part).drop("_part").coalesce(1).write.mode("append").parquet(path)
+    return path
+
+
+@query(oracle("""
+    SELECT cast(_source_key AS varchar) AS entity_id, 'LOADED' AS status FROM {valid_customers}
+    UNION ALL SELECT 'micro-batches', '3' UNION ALL SELECT 'refused rows in the log', '1' UNION ALL SELECT 'rows waiting', '0'"""))
+def stream_retry(t: Tables) -> DataFrame:
+    """Three micro-batches; what the target refuses in the first one, and all that had to wait for it, is loaded later."""
+    flow, results = customer_flow(), []
+    store = StateStore(t.spark, scratch_path(t.spark, "state"))
+    stream = t.spark.readStream.schema(S.RAW_ADDRESS).option("maxFilesPerTrigger", 1).parquet(_landed(t, 3))
+    refused = valid_customers(t).select(
+        F.col("_source_key").cast("string").alias("entity_id"), F.lit("locked").alias("error")).where("entity_id % 2 = 1")
+    start_sync(
+        stream, flow, store, scratch_path(t.spark, "stream"), on_result=results.append,
+        rejections=lambda epoch: refused if epoch == 0 else None,
+    ).awaitTermination()
+    log_now = store.load_log()
+    facts = [
+        ("micro-batches", str(len(results))),
+        ("refused rows in the log", str(log_now.where("status = 'FAILED'").count())),
+        ("rows waiting", str(sum(len(f) for f in store.snapshot().folders.get("retry_customers", {}).values()))),
+    ]
+    return log_now.where("status = 'LOADED'").select("entity_id", "status").unionAll(
+        t.spark.createDataFrame(facts, "entity_id string, status string"))
+
+
+@query(oracle("""
+    SELECT cast(_source_key AS varchar) AS entity_id, 1 AS attempt_number FROM {valid_customers}
+    UNION ALL SELECT 'watermarks', 2"""))
+def stream_epoch_replayed(t: Tables) -> DataFrame:
+    """Two epochs, the first of which comes again after the second: nothing is logged twice, no watermark falls."""
+    flow, store = customer_flow(), StateStore(t.spark, scratch_path(t.spark, "state"))
+    raw = materialize(t("raw_address"), "raw")
+    late = F.coalesce(fn.parse_long(F.col("AN8")), F.lit(0)) % 2 == 1
+    for epoch in (0, 1, 0):
+        sync_epoch(flow, store, raw.where(late == (epoch == 1)), f"stream:{epoch}")
+    marks = store.watermarks().agg(F.lit("watermarks").alias("entity_id"), F.count(F.lit(1)).cast("int").alias("attempt_number"))
+    return store.load_log().select("entity_id", "attempt_number").unionAll(marks)
+
+
 # Conflicts.
 
 def conflict_inputs(t: Tables) -> DataFrame:

@@ -26,7 +26,7 @@ from tidegate.operators.watermark import (
 )
 from tidegate.plans.flows import TableFlow
 from tidegate.runtime import fits_broadcast, materialize
-from tidegate.sinks import StateStore, write_preview, write_report
+from tidegate.sinks import Commit, StateStore, write_preview, write_report
 from tidegate.sinks.state import watermark_row
 
 Mark = tuple[int, int]
@@ -53,6 +53,7 @@ class SyncResult:
     records_updated: int = 0
     records_kept: int = 0
     records_flagged: int = 0
+    records_retried: int = 0
 
 
 def new_run() -> tuple[str, str]:
@@ -150,6 +151,7 @@ def load_batch(
     on_existing: str | None = None,
     reached: Mark | None = None,
     seen: DataFrame | None = None,
+    also: Callable[[Commit, DataFrame], None] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Load valid rows; return (outcomes, history before this batch).
 
@@ -158,7 +160,8 @@ def load_batch(
     flagged.  Each decision is kept in the store's ``conflicts`` table.
 
     Target rows, log, current state, decisions and, if the target rejects nothing, ``reached`` as the new
-    watermark and the ``seen`` rows beyond it become visible together.  A run that ends before that has changed nothing.
+    watermark and the ``seen`` rows beyond it become visible together, with what ``also`` adds to the commit
+    when given the outcomes.  A run that ends before that has changed nothing.
     """
     moment = run_moment(run_at)
     version = F.unix_micros(moment)
@@ -215,6 +218,8 @@ def load_batch(
             store.spark, flow.table_name, reached, F.lit(counted["loaded"]), moment), "table_name", S.WATERMARK_STATE)
         if seen is not None:
             commit.append(f"seen_{flow.table_name}", seen, "row_hash", S.SEEN_ROWS)
+    if also is not None:
+        also(commit, outcomes)
     commit.publish()
     return outcomes, history
 
@@ -270,10 +275,14 @@ def process_batch(
     preview_root: str | None = None,
     reached: Mark | None = None,
     seen: DataFrame | None = None,
+    retry: bool = False,
 ) -> SyncResult:
     """Transform, validate and load one non-empty raw batch, filling ``result``.
 
-    ``reached`` is the watermark to store with the batch unless the target rejects a row.
+    ``reached`` is the watermark to store with the batch unless the target rejects a row.  With ``retry``, rows
+    that the target refused or that were not processed stay in the store's queue, which changes with the
+    batch's commit, and take part in the next batch in contract order.  A row of the batch itself,
+    valid or not, takes the place of a waiting one with its key.
     """
     validated = materialize(flow.validate(flow.transform(batch)), "validated")
     counts = report.run_counts(validated).first()
@@ -289,6 +298,18 @@ def process_batch(
             [*preview, *S.FAILURE_COLUMNS],
         )
 
+    valid, also = valid_rows(validated), None
+    if retry and not dry_run:
+        queue, shape = f"retry_{flow.table_name}", valid.schema
+        arrived = validated.where("_source_key IS NOT NULL").select("_source_key")
+        waiting = materialize(store.read(queue, shape).join(arrived, "_source_key", "left_anti"), "waiting")
+        result.records_retried = waiting.count()
+        valid = valid.unionByName(waiting)
+
+        def also(commit: Commit, outcomes: DataFrame) -> None:
+            left = outcomes.where(F.col("status").isin(S.FAILED, S.NOT_PROCESSED)).select(*shape.names)
+            commit.replace(queue, left, "_source_key", shape, set(range(store.buckets)))
+
     outcomes, history = None, store.current(flow.entity).select("entity_id", "was_loaded", "last_id", "attempts")
     if dry_run:
         result.outcome = "DRY_RUN"
@@ -297,7 +318,7 @@ def process_batch(
         )
     else:
         outcomes, history = load_batch(
-            flow, valid_rows(validated), store, batch_id, run_at, rejections, on_existing, reached, seen
+            flow, valid, store, batch_id, run_at, rejections, on_existing, reached, seen, also
         )
         counted = load.run_outcome(load.load_summary(outcomes)).first()
         result.outcome = counted["outcome"]
