@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from tidegate import schemas as S
 from tidegate.functions import content_hash
 from tidegate.operators import conflict, load, report
-from tidegate.operators.keys import unique_lookup
 from tidegate.operators.numbering import number_rows
 from tidegate.operators.validate import failed_rows, valid_rows
 from tidegate.operators.watermark import (
@@ -211,7 +210,7 @@ def load_batch(
     commit.append(target_table, written, flow.ref, flow.target_schema, counted["last_id"])
     logged = load.log_rows(outcomes, flow.entity, batch_id, moment, commit.high("load_log"))
     commit.append("load_log", logged, "entity_id", S.LOAD_LOG, commit.high("load_log") + counted["logged"])
-    changed = current_rows(outcomes, known, materialize(hashes, "hashes"))
+    changed = current_rows(outcomes, known, hashes)
     commit.merge(f"current_{flow.entity}", materialize(changed, "current"), "entity_id", S.CURRENT_STATE)
     if reached is not None and counted["failed"] == 0:
         commit.append("watermarks", watermark_row(
@@ -225,10 +224,9 @@ def load_batch(
 
 
 def current_rows(outcomes: DataFrame, known: DataFrame, hashes: DataFrame) -> DataFrame:
-    """State of each entity that a batch logged or wrote, after the batch."""
+    """State of each entity that a batch logged or wrote, after the batch; no side holds an entity twice."""
     kept = ["entity_id", "status", "target_id", "created", "attempt_number"]
-    rows = unique_lookup(outcomes.select(*kept), known, ["entity_id"], left_is_unique=True)
-    rows = unique_lookup(rows, hashes, ["entity_id"], left_is_unique=True)
+    rows = outcomes.select(*kept).join(known, "entity_id", "left").join(hashes, "entity_id", "left")
     logged, loaded = F.col("status") != S.SKIPPED, F.col("status") == S.LOADED
     return rows.where(logged | F.col("_hash").isNotNull()).select(
         "entity_id",
@@ -310,8 +308,8 @@ def process_batch(
             left = outcomes.where(F.col("status").isin(S.FAILED, S.NOT_PROCESSED)).select(*shape.names)
             commit.replace(queue, left, "_source_key", shape, set(range(store.buckets)))
 
-    outcomes, history = None, store.current(flow.entity).select("entity_id", "was_loaded", "last_id", "attempts")
     if dry_run:
+        outcomes, history = None, store.current(flow.entity).select("entity_id", "was_loaded", "last_id", "attempts")
         result.outcome = "DRY_RUN"
         result.message = (
             f"Dry run: {result.records_valid} valid, {result.records_failed} failed, nothing written"

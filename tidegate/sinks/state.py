@@ -11,6 +11,7 @@ replaced bucket by bucket: buckets without a changed entity keep their files.  O
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field
@@ -201,10 +202,8 @@ class Commit:
         shaped = rows.select(*schema.names).select("*", store.bucket(key).alias("_bucket"))
         # Few files for a small batch, while a large bucket is still written by many tasks.
         shaped.hint("rebalance", "_bucket").write.partitionBy("_bucket").parquet(path)
-        try:
-            written = [r[0] for r in store.spark.read.parquet(path).select("_bucket").distinct().collect()]
-        except AnalysisException:  # no rows, no files, no schema
-            written = []
+        files = store.spark.read.schema(schema).parquet(path).inputFiles()
+        written = sorted({int(b) for f in files for b in re.findall(r"/_bucket=(\d+)/", f)})
         self._rows += [(table, b, folder, True, high) for b in written]
         return written
 
