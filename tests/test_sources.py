@@ -3,7 +3,8 @@ from helpers import customers, values
 
 from tidegate.schemas import RAW_ADDRESS, RAW_ITEM
 from tidegate.sinks.files import write_csv, write_preview
-from tidegate.sources import jdbc_options, read_csv
+from tidegate.sources import bin_counter, jdbc_options, plan_ranges, read_csv
+from tidegate.sources.ranges import sql_counter
 from tidegate.sources.tables import TABLES, alias_columns, incremental_scan, source_table
 
 
@@ -84,3 +85,32 @@ def test_jdbc_options():
     assert ranged["dbtable"] == "TESTDTA.F0101" and ranged["numPartitions"] == "8"
     with pytest.raises(ValueError):
         jdbc_options("jdbc:x", "items", partition_column="IMITM")
+
+
+def test_ranges_of_a_crowded_key(spark):
+    # A third of the rows share one key, another third lies within a thousandth of the span.
+    keys = [5_000_000] * 400 + list(range(900_000, 900_400)) + list(range(0, 10_000_000, 25_000)) + [None]
+    df = spark.createDataFrame([(k,) for k in keys], "k long")
+    ranges = plan_ranges(bin_counter(df, "k"), 0, 9_975_000, 10)
+    rows = [df.where(r.condition("k")).count() for r in ranges]
+    assert sum(rows) == len(keys) and len(ranges) <= 20
+    assert [r - (i == 0) for i, r in enumerate(rows)] == [r.rows for r in ranges]
+    share = -(-(len(keys) - 1) // 10)
+    assert all(n <= 2 * share or (r.low, n) == (5_000_000, 400) or n - 400 <= share for r, n in zip(ranges, rows, strict=True))
+    assert ranges[0].predicate("k").endswith("OR k IS NULL)") and ranges[-1].high is None
+
+
+def test_ranges_of_one_key_and_of_nothing(spark):
+    one = spark.createDataFrame([(7,)] * 5, "k long")
+    assert [r.predicate("k") for r in plan_ranges(bin_counter(one, "k"), 7, 7, 4)] == ["(1 = 1 OR k IS NULL)"]
+    assert [r.rows for r in plan_ranges(bin_counter(one.limit(0), "k"), 1, 9, 4)] == [0]
+    with pytest.raises(ValueError):
+        plan_ranges(bin_counter(one, "k"), 7, 7, 0)
+
+
+def test_counts_made_by_the_source(spark):
+    spark.range(1000).selectExpr("id * id AS k").createOrReplaceTempView("squares")
+    count = sql_counter(spark.sql, "squares", "k")
+    assert count(0, 100, 25) == sorted(count(0, 100, 25)) or sorted(count(0, 100, 25)) == [(0, 5), (1, 3), (2, 1), (3, 1)]
+    ranges = plan_ranges(count, 0, 999 * 999, 4)
+    assert sum(r.rows for r in ranges) == 1000 and max(r.rows for r in ranges) <= 500

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from tidegate.operators import units as u
 from tidegate.operators.transform import transform_items
+from tidegate.operators.units import UnknownUnit, resolve_code
 from tidegate.sources import read_units_mapping
 
 MAPPING = "source_code string, target_name string, category string, _pos int"
@@ -87,3 +88,11 @@ def test_resolve(spark):
     assert values(u.resolve_units(rows, units(spark)), "uom_id", "_unit_id", "_unit_category") == [
         ("KG", 3, "Weight"), ("XX", None, None)
     ]
+
+
+def test_strict_resolve(spark):
+    dimension = units(spark)
+    assert resolve_code(dimension, " ea ").id == 1
+    for code in ("??", "", None):
+        with pytest.raises(UnknownUnit, match="known: CS, DZ, EA"):
+            resolve_code(dimension, code)

@@ -63,7 +63,7 @@ PARTNER_HASH = hash_of(
     | {"is_company": "CASE WHEN is_company THEN 'True' ELSE 'False' END"}
 )
 
-_ROW_RULES = """
+ROW_RULES = """
     WHEN name IS NULL THEN 'RULE_03_NAME_REQUIRED'
     WHEN _source_type IS NULL OR _source_type NOT IN ('C', 'V', 'E')
       THEN 'RULE_04_INVALID_ADDRESS_TYPE'
@@ -106,7 +106,7 @@ CTES: dict[str, str] = VIEWS | {
         SELECT c.*, CASE
             WHEN c._source_key IS NULL THEN 'RULE_01_AN8_REQUIRED'
             WHEN d.k IS NOT NULL THEN 'RULE_02_AN8_DUPLICATE'
-            {_ROW_RULES} END AS _failed_rule
+            {ROW_RULES} END AS _failed_rule
         FROM {{customers}} c LEFT JOIN
           (SELECT _source_key AS k FROM {{customers}} GROUP BY 1 HAVING count(*) > 1) d
           ON c._source_key = d.k

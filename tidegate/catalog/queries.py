@@ -5,12 +5,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tidegate import functions as fn
 from tidegate import schemas as S
-from tidegate.catalog.oracle import cleaned, julian_date, number, oracle, phone, trimmed, whole
+from tidegate.catalog.oracle import ROW_RULES, cleaned, julian_date, number, oracle, phone, trimmed, whole
 from tidegate.catalog.registry import Tables, query
 from tidegate.operators import conflict, keys, load, report, units, validate, watermark
 from tidegate.operators.transform import transform_customers, transform_items
@@ -19,9 +21,9 @@ from tidegate.plans.runs import load_batch, new_run, report_tables
 from tidegate.runtime import materialize, scratch_path
 from tidegate.sinks import StateStore, write_preview
 from tidegate.sinks.files import write_csv
-from tidegate.sources import NA_TOKENS, align_columns, incremental_scan, read_csv, scan_csv
+from tidegate.sources import NA_TOKENS, align_columns, bin_counter, incremental_scan, plan_ranges, read_csv, scan_csv
 from tidegate.sources.tables import TABLES, alias_columns
-from tidegate.streaming import start_sync, sync_epoch
+from tidegate.streaming import start_sync, sync_epoch, validate_stream
 
 CUSTOMER_LIST = ", ".join(S.CUSTOMER_COLUMNS)
 ITEM_LIST = ", ".join(S.ITEM_COLUMNS)
@@ -158,6 +160,26 @@ def missing_column_tolerance(t: Tables) -> DataFrame:
     return transform_items(align_columns(narrow, S.RAW_ITEM)).select(*S.ITEM_COLUMNS)
 
 
+@query(oracle("""
+    SELECT count(*) AS rows, count(DISTINCT AN8) AS keys, 0 AS in_two_ranges, true AS even FROM {raw_address}"""))
+def range_planned_scan(t: Tables) -> DataFrame:
+    """All rows by ranges of a skewed key: half of the keys are crowded into a thousandth of the span."""
+    key = fn.parse_long(F.col("AN8"))
+    raw = t("raw_address").withColumn("k", F.when(key % 2 == 0, key * 1000).otherwise(key)).withColumn("_at", F.monotonically_increasing_id())
+    raw = materialize(raw, "database")
+    low, high = raw.agg(F.min("k"), F.max("k")).first()
+    readers = 8
+    ranges = plan_ranges(bin_counter(raw, "k"), low, high, readers)
+    scans = [raw.where(r.condition("k")).select("AN8", "_at", F.lit(i).alias("reader")) for i, r in enumerate(ranges)]
+    read = reduce(DataFrame.unionAll, scans)
+    depth = read.where("AN8 IS NOT NULL").groupBy("reader").count().agg(F.max("count").alias("deepest"))
+    return read.agg(
+        F.count(F.lit(1)).alias("rows"), F.count_distinct("AN8").alias("keys"),
+        (F.count(F.lit(1)) - F.count_distinct("_at")).cast("int").alias("in_two_ranges"),
+    ).crossJoin(depth).select(
+        "rows", "keys", "in_two_ranges", (F.col("deepest") <= 2 * F.ceil(F.col("rows") / readers)).alias("even"))
+
+
 def prefixed_address(t: Tables) -> DataFrame:
     """The raw table as a database keeps it: prefixed names, numeric change time."""
     source = TABLES["customers"]
@@ -920,6 +942,44 @@ def stream_epoch_replayed(t: Tables) -> DataFrame:
     return store.load_log().select("entity_id", "attempt_number").unionAll(marks)
 
 
+@query(oracle("""
+    SELECT 1 AS run, 'DRY_RUN' AS outcome, count(*) AS loaded_or_valid FROM {valid_customers}
+    UNION ALL SELECT 2, 'SUCCESS', count(*) FROM {valid_customers}
+    UNION ALL SELECT 3, 'NO_OP', 0"""))
+def sync_outcomes(t: Tables) -> DataFrame:
+    """A dry run, which stores nothing, a run, and a run over nothing new (every row has a change time here)."""
+    store, flow = StateStore(t.spark, scratch_path(t.spark, "state")), customer_flow()
+    timed = t("raw_address").withColumns({"UPMJ": F.lit("124001"), "UPMT": F.lit("1")})
+    raw = materialize(timed, "raw")
+    found = []
+    for run, dry in ((1, True), (2, False), (3, False)):
+        result = run_sync(flow, raw, store, dry_run=dry)
+        found.append((run, result.outcome, result.records_valid if dry else result.records_loaded))
+    return t.spark.createDataFrame(found, "run int, outcome string, loaded_or_valid long")
+
+
+@query(oracle("""
+    SELECT entity, count(*) AS rows FROM (
+      SELECT 'customer' AS entity FROM {valid_customers} UNION ALL SELECT 'item' FROM {valid_items}) s GROUP BY entity"""))
+def flow_contract(t: Tables) -> DataFrame:
+    """Both tables through the same run code and one store; only their flows differ."""
+    store = StateStore(t.spark, scratch_path(t.spark, "state"))
+    for flow, raw in ((customer_flow(), t("raw_address")), (item_flow(dimension(t)), t("raw_item"))):
+        run_sync(flow, raw, store)
+    return store.load_log().groupBy(F.col("entity_type").alias("entity")).agg(F.count(F.lit(1)).alias("rows"))
+
+
+@query(oracle(f"SELECT _source_key, CASE {ROW_RULES} END AS _failed_rule FROM {{customers}}"))
+def stream_row_rules(t: Tables) -> DataFrame:
+    """Row rules on a stream of raw files; duplicate keys need a batch and are left out."""
+    stream = t.spark.readStream.schema(S.RAW_ADDRESS).parquet(_landed(t, 2))
+    rows = validate_stream(transform_customers(stream), validate.customer_row_rules())
+    out = scratch_path(t.spark, "validated")
+    rows.select("_source_key", "_failed_rule").writeStream.format("parquet").option(
+        "checkpointLocation", scratch_path(t.spark, "stream")).option("path", out).trigger(availableNow=True).start().awaitTermination()
+    return t.spark.read.schema("_source_key long, _failed_rule string").parquet(out)
+
+
 # Conflicts.
 
 def conflict_inputs(t: Tables) -> DataFrame:
@@ -1067,6 +1127,35 @@ def preview_failed(t: Tables) -> DataFrame:
     )
 
 
+_ITEM_PREVIEW_SQL = ", ".join(
+    f"cast({c} AS varchar) AS {c}" for c in S.PRODUCT_PREVIEW)
+
+
+@query(oracle(f"SELECT {_ITEM_PREVIEW_SQL} FROM {{valid_items}}"))
+def preview_valid_items(t: Tables) -> DataFrame:
+    return _preview(t, valid_items(t), S.PRODUCT_PREVIEW)
+
+
+@query(oracle("""
+    SELECT 'first' AS run, count(*) AS rows FROM {valid_customers} UNION ALL SELECT 'second', count(*) FROM {valid_customers}
+    UNION ALL SELECT 'same again', 0"""))
+def preview_never_overwritten(t: Tables) -> DataFrame:
+    """Runs write below their own ids; a used id is refused and what it wrote stays."""
+    root, valid = scratch_path(t.spark, "out"), materialize(valid_customers(t), "valid")
+    counts = []
+    for run in ("first", "second"):
+        path = write_preview(valid, root, "preview", run, S.PARTNER_PREVIEW)
+        counts.append(read_csv(t.spark, path, StructType([StructField(c, StringType()) for c in S.PARTNER_PREVIEW])).agg(
+            F.lit(run).alias("run"), F.count(F.lit(1)).alias("rows")))
+    try:
+        write_preview(valid, root, "preview", "first", S.PARTNER_PREVIEW)
+        written = 1
+    except AnalysisException:
+        written = 0
+    counts.append(t.spark.range(1).select(F.lit("same again").alias("run"), F.lit(written).cast("long").alias("rows")))
+    return reduce(DataFrame.unionAll, counts)
+
+
 def _reports(t: Tables) -> dict[str, DataFrame]:
     validated = materialize(customer_results(t), "validated")
     history, existing = load_state(t, "customer", "target_partner", "ref")

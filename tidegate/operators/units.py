@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from tidegate.functions import code_text, strip
@@ -11,6 +11,8 @@ from tidegate.operators.numbering import number_rows
 from tidegate.runtime import fits_broadcast, materialize, scratch_path
 from tidegate.schemas import UNIT_MAPPING_COLUMNS
 
+KNOWN_SHOWN = 20  # known codes that an error names
+
 
 def clean_mapping(mapping: DataFrame, position: str) -> DataFrame:
     """One row per code; a later row (by ``position``) replaces an earlier one.
@@ -125,6 +127,24 @@ def resolve_units(df: DataFrame, units: DataFrame, code: str = "uom_id") -> Data
     return unique_lookup(df, side, [code])
 
 
+class UnknownUnit(LookupError):
+    """A unit code that the dimension does not hold."""
+
+
+def resolve_code(units: DataFrame, code: str | None) -> Row:
+    """The dimension row (code, id, name, category) of one code, trimmed and in upper case.
+
+    Raises ``UnknownUnit``, which tells the first of the known codes, for any other code and for none.
+    """
+    wanted = (code or "").strip().upper()
+    row = units.where(F.col("code") == wanted).select("code", "id", "name", "category").first()
+    if row is None:
+        known = [r[0] for r in known_codes(units).limit(KNOWN_SHOWN + 1).collect()]
+        more = ", ..." if len(known) > KNOWN_SHOWN else ""
+        raise UnknownUnit(f"unknown unit {code!r}; known: {', '.join(known[:KNOWN_SHOWN])}{more}")
+    return row
+
+
 def with_unit_categories(
     items: DataFrame, units: DataFrame, counted: DataFrame | None = None
 ) -> DataFrame:

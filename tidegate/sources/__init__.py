@@ -9,10 +9,12 @@ from tidegate.sources.files import (
     read_csv,
     read_units_mapping,
 )
+from tidegate.sources.ranges import KeyRange, bin_counter, plan_ranges
 from tidegate.sources.tables import TABLES, alias_columns, incremental_scan, jdbc_options, read_jdbc
 
 __all__ = [
-    "NA_TOKENS", "TABLES", "CsvScan", "MalformedRecords", "alias_columns", "align_columns",
+    "NA_TOKENS", "TABLES", "CsvScan", "KeyRange", "MalformedRecords", "alias_columns", "align_columns",
+    "bin_counter", "plan_ranges",
     "incremental_scan", "jdbc_options", "null_tokens", "read_csv", "read_jdbc", "read_units_mapping",
     "scan_csv",
 ]

@@ -10,6 +10,7 @@ from pyspark.sql.types import StructType
 
 from tidegate.operators.watermark import after_watermark
 from tidegate.schemas import RAW_ADDRESS, RAW_ITEM
+from tidegate.sources.ranges import plan_ranges, sql_counter
 
 DEFAULT_SCHEMA = "PRODDTA"
 FETCH_SIZE = 1000
@@ -95,8 +96,29 @@ def read_jdbc(
     last_upmj: int = 0,
     last_upmt: int = 0,
     properties: dict[str, str] | None = None,
+    key: str | None = None,
+    readers: int | None = None,
     **scan: object,
 ) -> DataFrame:
-    """Aliased incremental scan of a database table."""
+    """Aliased incremental scan of a database table.
+
+    With ``key``, a whole-number column, and ``readers``, the table is read in about that many ranges of the
+    key, through a connection each; the ranges come from counts that the database makes (``plan_ranges``).
+    """
+    if key is not None:
+        options = jdbc_options(url, name, **scan)
+        base = {"url": url, **(properties or {})}
+
+        def run(query: str) -> DataFrame:
+            return spark.read.format("jdbc").options(**base, query=query).load()
+
+        ends = run(f"SELECT MIN({key}) AS low, MAX({key}) AS high FROM {options['dbtable']}").first()
+        if ends["low"] is not None:
+            ranges = plan_ranges(
+                sql_counter(run, options["dbtable"], key), int(ends["low"]), int(ends["high"]), readers or 8)
+            whole = spark.read.jdbc(
+                url, options["dbtable"], predicates=[r.predicate(key) for r in ranges],
+                properties={"fetchsize": options["fetchsize"], **(properties or {})})
+            return incremental_scan(whole, name, last_upmj, last_upmt)
     reader = spark.read.format("jdbc").options(**jdbc_options(url, name, **scan))
     return incremental_scan(reader.options(**(properties or {})).load(), name, last_upmj, last_upmt)
