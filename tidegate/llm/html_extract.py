@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidegate.llm.common import materialize
+from tidegate.operators.keys import unique_lookup
 
 MIN_PAGES = 10  # pages of a host on which a subtree recurs at least
 MIN_SHARE = 0.05  # of the host's pages
@@ -233,17 +234,20 @@ def extract(
     parsed = rows.mapInPandas(
         _outlines, f"page {kind}, url string, host string, digest long, subtrees array<long>, packed binary")
     parsed = materialize(parsed.withColumn("row", F.monotonically_increasing_id()), "pages")
+    rows_of = parsed.groupBy("host").agg(F.count(F.lit(1)).alias("n"))
     different = parsed.groupBy("host", "digest").agg(F.min("row").alias("row"))
     pages = different.groupBy("host").agg(F.count("*").alias("pages"))
-    on = parsed.select("row", "host", F.explode(F.array_distinct("subtrees")).alias("subtree"))
-    # Counted per host with partial sums, then few rows: subtrees that recur.
-    recurring = on.join(different.select("row"), "row", "left_semi").groupBy("host", "subtree").agg(
-        F.count("*").alias("n")).where(F.col("n") >= min(min_pages, FEW_PAGES))
+    # Counted per host with partial sums over one page of each content: subtrees that recur.
+    counted = parsed.select("row", "host", "subtrees").join(different.select("row"), "row", "left_semi").select(
+        "host", F.explode(F.array_distinct("subtrees")).alias("subtree"))
+    recurring = counted.groupBy("host", "subtree").agg(F.count("*").alias("n")).where(F.col("n") >= min(min_pages, FEW_PAGES))
     often = (F.col("n") >= min_pages) & (F.col("n") >= F.col("pages") * min_share)
     mostly = (F.col("n") >= FEW_PAGES) & (F.col("n") >= F.col("pages") * FEW_SHARE)
     of_article = F.col("subtree").bitwiseAND(F.lit(1)) == 1
-    recurring = recurring.join(pages, "host").where(mostly | often & ~of_article).select("host", "subtree")
-    gone = on.join(recurring, ["host", "subtree"]).groupBy("row").agg(F.collect_list("subtree").alias("gone"))
-    whole = parsed.join(gone, "row", "left").select("page", "url", "subtrees", "packed", "gone")
+    recurring = recurring.join(pages, "host").where(mostly | often & ~of_article)
+    # At most 1 / share times the subtrees of one page recur on a host; the pages themselves stay where they are.
+    hosts = materialize(recurring.groupBy("host").agg(F.collect_list("subtree").alias("lost")), "hosts")
+    whole = unique_lookup(parsed, hosts, ["host"], frequency=rows_of).select(
+        "page", "url", "subtrees", "packed", F.array_intersect("subtrees", "lost").alias("gone"))
     return whole.mapInPandas(_texts, f"page {kind}, url string, text string").select(
         F.col("page").alias(id_col), F.col("url").alias(url_col), "text", F.length("text").cast("long").alias("n_chars"))
