@@ -1163,7 +1163,7 @@ def _reports(t: Tables) -> dict[str, DataFrame]:
         validate.valid_rows(validated), history, existing, t("rejections")
     )
     return report_tables(
-        customer_flow(), validated, planned, history, "parquet", "2024-02-01 00:00:00", False
+        customer_flow(), validated, planned, "parquet", "2024-02-01 00:00:00", False
     )
 
 
@@ -1203,14 +1203,19 @@ def _report_sql(columns: list[tuple[str, str]]) -> str:
 
 @query(oracle(f"SELECT {_report_sql(report.CUSTOMER_VALIDATED)} FROM {{valid_customers}}"))
 def report_validated(t: Tables) -> DataFrame:
-    return _reports(t)["validated"]
+    return report.report_columns(valid_customers(t), report.CUSTOMER_VALIDATED)
+
+
+@query(oracle(f"SELECT {_report_sql(report.ITEM_VALIDATED)} FROM {{valid_items}}"))
+def report_validated_items(t: Tables) -> DataFrame:
+    return report.report_columns(valid_items(t), report.ITEM_VALIDATED)
 
 
 @query(oracle(f"""
     SELECT {_report_sql(report.CUSTOMER_FAILED)} FROM {{customer_reasons}}
     WHERE _failed_rule IS NOT NULL"""))
 def report_failed(t: Tables) -> DataFrame:
-    return _reports(t)["failed"]
+    return report.report_columns(validate.failed_rows(customer_results(t)), report.CUSTOMER_FAILED)
 
 
 @query(oracle("""

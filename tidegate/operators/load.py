@@ -167,6 +167,7 @@ def plan_load(
         .when(F.col("status") == FAILED, error).alias("error"),
         (loaded & ~exists).alias("created"),
         (F.coalesce("attempts", F.lit(0)) + 1).cast("int").alias("attempt_number"),
+        "last_id",
     )
 
 

@@ -56,25 +56,29 @@ def status_reason(status: Column, target_id: Column) -> Column:
 
 
 def load_results(
-    valid: DataFrame, outcomes: DataFrame | None, history: DataFrame, dry_run: bool = False
+    valid: DataFrame, outcomes: DataFrame | None, history: DataFrame | None = None, dry_run: bool = False
 ) -> DataFrame:
     """What happened to each valid row.
 
-    ``outcomes`` is (entity_id, status, target_id, error) and ``history``
-    (entity_id, last_id), each with one row per entity id.
+    ``outcomes`` of a load plan cover every valid row and know its name and last id, so nothing is joined.  With
+    ``history`` (entity_id, last_id), ``outcomes`` may be any (entity_id, status, target_id, error), each with one
+    row per entity id, and valid rows without an outcome are reported as such.
     """
-    rows = valid.select(F.col("_source_key").cast("string").alias("entity_id"), "name")
     if dry_run or outcomes is None:
         status = F.lit("DRY RUN")
         nothing = F.lit(None).cast("string")
-        return rows.select(
-            F.col("entity_id").alias("source_key"), "name", status.alias("status"),
+        return valid.select(
+            F.col("_source_key").cast("string").alias("source_key"), "name", status.alias("status"),
             nothing.alias("target_id"), status_reason(status, nothing).alias("reason"),
         )
-    results = outcomes.select("entity_id", "status", "target_id", "error")
-    joined = rows.join(results, "entity_id", "left").join(
-        history.select("entity_id", "last_id"), "entity_id", "left"
-    )
+    if history is None:
+        joined = outcomes
+    else:
+        rows = valid.select(F.col("_source_key").cast("string").alias("entity_id"), "name")
+        results = outcomes.select("entity_id", "status", "target_id", "error")
+        joined = rows.join(results, "entity_id", "left").join(
+            history.select("entity_id", "last_id"), "entity_id", "left"
+        )
     known = F.col("status").isNotNull()
     target_id = F.coalesce("target_id", "last_id")
     reason = F.when(

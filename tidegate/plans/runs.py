@@ -242,7 +242,6 @@ def report_tables(
     flow: TableFlow,
     validated: DataFrame,
     outcomes: DataFrame | None,
-    history: DataFrame,
     source: str,
     run_at: str,
     dry_run: bool,
@@ -254,7 +253,7 @@ def report_tables(
         "summary": report.summary_table(validated, summary, source, run_at, dry_run),
         "validated": report.report_columns(valid, flow.validated_columns),
         "failed": report.report_columns(failed_rows(validated), flow.failed_columns),
-        "load_results": report.load_results(valid, outcomes, history, dry_run),
+        "load_results": report.load_results(valid, outcomes, dry_run=dry_run),
     }
 
 
@@ -308,14 +307,14 @@ def process_batch(
             left = outcomes.where(F.col("status").isin(S.FAILED, S.NOT_PROCESSED)).select(*shape.names)
             commit.replace(queue, left, "_source_key", shape, set(range(store.buckets)))
 
+    outcomes = None
     if dry_run:
-        outcomes, history = None, store.current(flow.entity).select("entity_id", "was_loaded", "last_id", "attempts")
         result.outcome = "DRY_RUN"
         result.message = (
             f"Dry run: {result.records_valid} valid, {result.records_failed} failed, nothing written"
         )
     else:
-        outcomes, history = load_batch(
+        outcomes, _ = load_batch(
             flow, valid, store, batch_id, run_at, rejections, on_existing, reached, seen, also
         )
         counted = load.run_outcome(load.load_summary(outcomes)).first()
@@ -345,7 +344,7 @@ def process_batch(
             )
 
     if report_root is not None:
-        tables = report_tables(flow, validated, outcomes, history, source, run_at, dry_run)
+        tables = report_tables(flow, validated, outcomes, source, run_at, dry_run)
         if not dry_run and on_existing is not None:
             tables["conflicts"] = decisions
         try:
