@@ -33,7 +33,7 @@ Raw = DataFrame | Callable[[int, int], DataFrame]
 
 
 @dataclass
-class SyncResult:
+class SyncResult:  # fixed values: names of the fields of a run
     table_name: str
     outcome: str = "NO_OP"
     records_extracted: int = 0

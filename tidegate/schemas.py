@@ -9,7 +9,7 @@ def _strings(*names: str) -> T.StructType:
     return T.StructType([T.StructField(n, T.StringType()) for n in names])
 
 
-# Raw tables: every column is nullable text, so codes keep their leading zeros.
+# Columns of the raw tables.  Every column is nullable text, so codes keep their leading zeros.
 RAW_ADDRESS = _strings(
     "AN8", "ALPH", "AT1", "PH1", "ADD1", "ADD2", "CTY1",
     "ADDS", "ADDZ", "COUN", "TAX", "PA8", "UPMJ", "UPMT",
@@ -23,6 +23,7 @@ UNIT_TARGET = T.StructType([
     T.StructField("name", T.StringType()),
 ])
 
+# Columns of the watermark state and the load log.
 WATERMARK_STATE = T.StructType([
     T.StructField("table_name", T.StringType()),
     T.StructField("last_upmj", T.LongType()),
@@ -118,7 +119,7 @@ PRODUCT_HASH_FIELDS = [
     "uom_id", "uom_po_id", "list_price",
 ]
 
-# Load statuses.
+# Load statuses.
 LOADED, SKIPPED, FAILED, NOT_PROCESSED = "LOADED", "SKIPPED", "FAILED", "NOT_PROCESSED"
 
 # Conflict strategies and actions.
