@@ -27,6 +27,53 @@ LETTERS = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
 CLASSES = len(LETTERS) + 1  # one more for all other characters
 MIN_RATIO = 0.2  # log-likelihood ratio per pair of characters
 SPAN = "struct<start:int,stop:int,kind:int,value:string>"
+GROUP = 64  # numbers that one fold takes
+
+
+def _no_spans() -> Column:
+    return F.array().cast(f"array<{SPAN}>")
+
+
+def _held(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, however often lambdas inside refer to it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _before(values: Column, join, first: Column) -> Column:
+    """For each of the whole numbers what ``join`` makes of ``first`` and those before it, by one fold."""
+    def add(state, x):
+        return F.struct(join(state["at"], x).alias("at"), F.concat(state["out"], F.array(state["at"])).alias("out"))
+
+    state = F.struct(first.alias("at"), F.array().cast("array<int>").alias("out"))
+    return F.aggregate(values, state, add, lambda s: s["out"])
+
+
+def _running(values: Column, join) -> Column:
+    """What ``join`` (a sum or maximum of numbers from 0 on) makes of the values before each.
+
+    A fold copies its state at every step, so an array in it costs the square of its length.  Values
+    are folded in groups of ``GROUP``: over the groups, then inside each.
+    """
+    zero = F.lit(0)
+
+    def grouped(all_):
+        return F.transform(F.sequence(F.lit(1), F.greatest(F.size(all_), F.lit(1)), F.lit(GROUP)),
+                           lambda i: F.slice(all_, i, GROUP))
+
+    def prefixes(groups):
+        heads = _before(F.transform(groups, lambda g: F.aggregate(g, zero, join)), join, zero)
+        return F.flatten(F.transform(
+            F.arrays_zip(groups.alias("group"), heads.alias("head")), lambda z: _before(z["group"], join, z["head"])))
+
+    return _held(values, lambda all_: _held(grouped(all_), prefixes))
+
+
+def _sum(a: Column, b: Column) -> Column:
+    return a + b
+
+
+def _larger(a: Column, b: Column) -> Column:
+    return F.greatest(a, b)
 
 
 def _located(text: Column, pattern: str, kind: int, group: int | None = None) -> Column:
@@ -37,18 +84,19 @@ def _located(text: Column, pattern: str, kind: int, group: int | None = None) ->
         F.arrays_zip(F.split(text, pattern).alias("gap"), hits.alias("hit"), values.alias("value")),
         lambda x: F.struct(F.length(x["gap"]).alias("gap"), F.length(x["hit"]).alias("hit"), x["value"].alias("value")),
     )
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{SPAN}>").alias("found"))
 
-    def add(state, part):
-        begin = state["at"] + part["gap"]
-        end = begin + F.coalesce(part["hit"], F.lit(0))
-        span = F.struct(begin.alias("start"), end.alias("stop"), F.lit(kind).alias("kind"), part["value"].alias("value"))
-        return F.struct(
-            end.alias("at"),
-            F.when(part["hit"].isNull(), state["found"]).otherwise(F.concat(state["found"], F.array(span))).alias("found"))
+    def span(z):
+        part = z["part"]
+        start = z["at"] + part["gap"]
+        return F.struct(start.alias("start"), (start + part["hit"]).alias("stop"), F.lit(kind).alias("kind"), part["value"].alias("value"))
 
-    found = F.aggregate(parts, start, add)["found"]
-    return F.when(text.rlike(pattern), found).otherwise(F.array().cast(f"array<{SPAN}>"))
+    def spans(parts):
+        # The last part is what follows the last match.
+        parts = F.filter(parts, lambda p: p["hit"].isNotNull())
+        at = _running(F.transform(parts, lambda p: p["gap"] + p["hit"]), _sum)
+        return F.transform(F.arrays_zip(parts.alias("part"), at.alias("at")), span)
+
+    return F.when(text.rlike(pattern), _held(parts, spans)).otherwise(_no_spans())
 
 
 def _base(text: Column) -> Column:
@@ -104,7 +152,26 @@ def _ratio(value: Column, table: Column) -> Column:
 
 
 def _long(text: Column) -> Column:
-    return F.when(text.rlike(CANDIDATE), _located(text, CANDIDATE, 3)).otherwise(F.array().cast(f"array<{SPAN}>"))
+    return _located(text, CANDIDATE, 3)
+
+
+def _apart(base: Column, long: Column) -> Column:
+    """The spans of ``long`` that meet none of ``base``; long spans do not meet each other.
+
+    In order of the starts, a span meets an earlier one if the furthest stop so far lies behind its start,
+    and a later one only if the next one is such.
+    """
+    def free(z):
+        span, after = z["span"], z["after"]
+        return (span["kind"] == 3) & (span["start"] >= z["reach"]) & (
+            after.isNull() | (after["kind"] == 3) | (after["start"] >= span["stop"]))
+
+    def kept(spans):
+        reach = _running(F.transform(spans, lambda s: F.when(s["kind"] == 3, 0).otherwise(s["stop"])), _larger)
+        beside = F.arrays_zip(spans.alias("span"), reach.alias("reach"), F.slice(spans, 2, F.size(spans)).alias("after"))
+        return F.transform(F.filter(beside, free), lambda z: z["span"])
+
+    return _held(F.array_sort(F.concat(base, long)), kept)
 
 
 def _table(values: DataFrame, texts: DataFrame) -> Column | None:
@@ -127,8 +194,8 @@ def _with_random(base: Column, long: Column, table: Column | None, min_ratio: fl
     """Base spans and the long strings apart from them that the models call random."""
     if table is None:
         return base
-    added = F.filter(long, lambda c: ~F.exists(
-        base, lambda b: (b["start"] < c["stop"]) & (c["start"] < b["stop"])) & (_ratio(c["value"], table) >= min_ratio))
+    apart = F.when(F.size(base) > 0, _apart(base, long)).otherwise(long)
+    added = F.filter(apart, lambda c: _ratio(c["value"], table) >= min_ratio)
     return F.when(F.size(long) > 0, F.array_sort(F.concat(base, added))).otherwise(base)
 
 
@@ -158,17 +225,26 @@ def scan(
 
 
 def redacted(text: Column, found: Column, mask: str = "[secret]") -> Column:
-    """The text with each span, spans that meet taken together, replaced by ``mask``."""
-    first = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
-
-    def step(state, span):
-        gap = F.substring(text, state["at"] + 1, F.greatest(span["start"] - state["at"], F.lit(0)))
-        return F.when(span["stop"] <= state["at"], state).otherwise(F.struct(
-            F.concat(state["out"], gap, F.when(span["start"] < state["at"], F.lit("")).otherwise(F.lit(mask))).alias("out"),
-            F.greatest(span["stop"], state["at"]).alias("at")))
+    """The text with each span, spans that meet taken together, replaced by ``mask``.
 
-    done = F.aggregate(found, first, step)
-    return F.when(F.size(found) > 0, F.concat(done["out"], F.substring(text, done["at"] + 1, F.length(text)))).otherwise(text)
+    What lies between is cut from the text's UTF-32 form, where a code point's place is known, so time is
+    linear in text and spans.  The byte order mark put before each piece is what the decoder takes off.
+    """
+    def cut(wide, piece):
+        return F.decode(F.concat(F.unhex(F.lit("0000FEFF")), F.substring(
+            wide, piece["at"] * 4 + 1, (piece["start"] - piece["at"]) * 4)), "UTF-32")
+
+    def pieces(spans):
+        at = _running(F.transform(spans, lambda s: s["stop"]), _larger)
+        gaps = F.arrays_zip(spans["start"].alias("start"), at.alias("at"))
+        # A span that begins inside those before it has no piece before it.
+        gaps = F.filter(gaps, lambda g: g["start"] >= g["at"])
+        return _held(F.encode(text, "UTF-32"), lambda wide: F.transform(gaps, lambda g: cut(wide, g)))
+
+    end = F.struct(F.length(text).alias("start"), F.length(text).alias("stop"))
+    places = F.transform(found, lambda s: F.struct(s["start"].alias("start"), s["stop"].alias("stop")))
+    whole = F.array_join(_held(F.concat(places, F.array(end)), pieces), mask)
+    return F.when(F.size(found) > 0, whole).otherwise(text)
 
 
 def redact(
