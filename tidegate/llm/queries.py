@@ -14,7 +14,7 @@ from tidegate.llm.chat_format import AS, CONTROL, MARKS, ROLE, chat_digests, for
 from tidegate.llm.common import read_table, small_batches
 from tidegate.llm.decontaminate import contained_items
 from tidegate.llm.html_extract import extract
-from tidegate.llm.licenses import licenses
+from tidegate.llm.licenses import CUE, LONG_RULES, OPENING, PATTERN, SENTENCES, SHORT_RULES, licenses
 from tidegate.llm.merkle import leaf_hash, merkle_manifest
 from tidegate.llm.mixing import mix
 from tidegate.llm.near_vectors import near_vectors
@@ -52,7 +52,27 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(read_table(spark, sf_dir, "documents"))
 
 
-@query()
+NGRAM_SQL = r"""
+WITH RECURSIVE texts AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS w FROM documents),
+sets AS MATERIALIZED (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END) AS s FROM texts),
+classes AS MATERIALIZED (SELECT min(doc_id) AS class, list_sort(s) AS s, len(s) AS n FROM sets GROUP BY list_sort(s) HAVING len(s) > 0),
+parts AS MATERIALIZED (SELECT class, n, unnest(s) AS shingle FROM classes),
+links AS MATERIALIZED (
+  SELECT a.class AS a, b.class AS b FROM parts a JOIN parts b ON a.shingle = b.shingle AND a.class < b.class
+    AND 100 * least(a.n, b.n) >= 90 * greatest(a.n, b.n)
+  GROUP BY a.class, b.class, a.n, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))),
+ways AS MATERIALIZED (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach(a, b) AS (SELECT class, class FROM classes UNION SELECT reach.a, ways.b FROM reach JOIN ways ON ways.a = reach.b),
+least_of AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a)
+SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, coalesce(l.component_id, s.doc_id) AS component_id
+FROM sets s LEFT JOIN classes c ON c.s = list_sort(s.s) LEFT JOIN least_of l ON l.a = c.class"""
+
+
+@query(NGRAM_SQL)
 def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_documents(read_table(spark, sf_dir, "documents"), words=3, similarity=90)
 
@@ -62,7 +82,33 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contained_items(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
-@query()
+def _license_sql() -> str:
+    known = "MAP {" + ", ".join(f"'{k}': '{v}'" for k, v in SENTENCES.items()) + "}"
+    steps = []
+    for k, (_, sequence) in enumerate(LONG_RULES):
+        part = "".join(f",{s}," for s in sequence)
+        steps.append(f"r{k + 1} AS (SELECT *, contains(rest{k}, '{part}') AS has{k}, replace(rest{k}, '{part}', '|') AS rest{k + 1} FROM r{k})")
+    last = len(LONG_RULES)
+    names = [f"CASE WHEN has{k} THEN '{name}' END" for k, (name, _) in enumerate(LONG_RULES)]
+    names += [f"CASE WHEN contains(rest{last}, ',{one},') THEN '{name}' END" for name, (one,) in SHORT_RULES]
+    return f"""
+WITH hits AS (
+  SELECT doc_id, CASE WHEN regexp_matches(lower(coalesce(text, '')), '{CUE}') THEN list_transform(regexp_extract_all(
+    '  ' || lower(regexp_replace(coalesce(text, ''), '[^A-Za-z0-9]+', '  ', 'g')) || '  ', '{PATTERN}'),
+    lambda h: trim(replace(h, '  ', ' '))) ELSE [] END AS hits FROM documents),
+ids AS (
+  SELECT doc_id, list_filter(list_transform(hits, lambda h: coalesce(
+    {known}[h], {known}[regexp_replace(h, '^{OPENING}', 'under ')])), lambda i: i IS NOT NULL) AS ids FROM hits),
+r0 AS (SELECT doc_id, coalesce(list_aggregate(ids, 'string_agg', ','), '') AS sentences,
+  ',' || replace(coalesce(list_aggregate(ids, 'string_agg', ','), ''), ',', ',,') || ',' AS rest0 FROM ids),
+{", ".join(steps)},
+named AS (SELECT doc_id, sentences, list_filter([{", ".join(names)}], lambda n: n IS NOT NULL) AS names FROM r{last}),
+firsts AS (SELECT doc_id, sentences, list_filter(names, lambda n, i: list_position(names, n) = i) AS found FROM named)
+SELECT doc_id, sentences, coalesce(list_aggregate(found, 'string_agg', ','), '') AS licenses, CAST(len(found) AS INTEGER) AS n_licenses
+FROM firsts"""
+
+
+@query(_license_sql())
 def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses(read_table(spark, sf_dir, "documents"))
 
