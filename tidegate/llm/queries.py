@@ -57,9 +57,9 @@ WITH RECURSIVE texts AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
     '[^\x20\x09-\x0D]+') AS w FROM documents),
 sets AS MATERIALIZED (
-  SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
-    ELSE list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END) AS s FROM texts),
-classes AS MATERIALIZED (SELECT min(doc_id) AS class, list_sort(s) AS s, len(s) AS n FROM sets GROUP BY list_sort(s) HAVING len(s) > 0),
+  SELECT doc_id, list_sort(list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END)) AS s FROM texts),
+classes AS MATERIALIZED (SELECT min(doc_id) AS class, s, len(s) AS n FROM sets WHERE len(s) > 0 GROUP BY s),
 parts AS MATERIALIZED (SELECT class, n, unnest(s) AS shingle FROM classes),
 links AS MATERIALIZED (
   SELECT a.class AS a, b.class AS b FROM parts a JOIN parts b ON a.shingle = b.shingle AND a.class < b.class
@@ -69,7 +69,7 @@ ways AS MATERIALIZED (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
 reach(a, b) AS (SELECT class, class FROM classes UNION SELECT reach.a, ways.b FROM reach JOIN ways ON ways.a = reach.b),
 least_of AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a)
 SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, coalesce(l.component_id, s.doc_id) AS component_id
-FROM sets s LEFT JOIN classes c ON c.s = list_sort(s.s) LEFT JOIN least_of l ON l.a = c.class"""
+FROM sets s LEFT JOIN classes c ON c.s = s.s LEFT JOIN least_of l ON l.a = c.class"""
 
 
 @query(NGRAM_SQL)
