@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidegate.llm.common import text_or_empty
-from tidegate.runtime import scratch_path
+from tidegate.operators.keys import unique_lookup
+from tidegate.runtime import HOT_ROWS, scratch_path
 
 LIMIT = 512  # tokens
 CACHE = "digest binary, n_tokens long"
@@ -106,7 +107,7 @@ def _counted(spec):
 
 def token_counts(
     df: DataFrame, tokenizer_path: str, cache_path: str | None = None, limit: int = LIMIT,
-    id_col: str = "doc_id", text_col: str = "text",
+    id_col: str = "doc_id", text_col: str = "text", hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Token counts of whole texts, each content encoded once for each tokenizer version.
 
@@ -116,6 +117,9 @@ def token_counts(
     Tokens at the begin or end are not added, texts are neither cut nor padded, and special
     strings inside texts are what the library makes of them by default.
 
+    Counts go back to the rows by a broadcast if they are few (measured); else by a join in which digests of
+    more than ``hot_rows`` rows are set apart, see ``operators.keys.unique_lookup``.
+
     Returns id, n_bytes, n_tokens, over_limit (more than ``limit`` tokens), one row for each
     input row.  Null and empty texts have no tokens; null and repeated ids stay as they are.
     """
@@ -137,8 +141,7 @@ def token_counts(
     misses.mapInPandas(_counted(sent), CACHE).write.mode("append").parquet(path)
     # Two runs at a time may both append a digest; their counts are the same.
     counts = spark.read.schema(CACHE).parquet(path).groupBy("digest").agg(F.first("n_tokens").alias("n_tokens"))
-    return (
-        docs.select("id", F.octet_length("text").cast("long").alias("n_bytes"), F.unhex(F.sha2("text", 256)).alias("digest"))
-        .join(counts, "digest")
-        .select(F.col("id").alias(id_col), "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
-    )
+    digests = docs.select("id", F.octet_length("text").cast("long").alias("n_bytes"), F.unhex(F.sha2("text", 256)).alias("digest"))
+    # A text may be a third of all rows: its digest must not meet them in one task.
+    return unique_lookup(digests, counts, ["digest"], hot_rows=hot_rows).select(
+        F.col("id").alias(id_col), "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
