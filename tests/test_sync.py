@@ -113,6 +113,19 @@ def test_more_rows_without_a_change_time_than_the_limit(spark, store):
     assert run_sync(flow, changed, store, limit=2).records_loaded == 1
 
 
+def test_copies_of_a_key_are_read_together_under_a_limit(spark, store):
+    flow, runs = customer_flow(), 0
+    # Copies: without a change time, written differently, and the very same row twice.
+    raw = people(
+        spark, ("2 ", "soon", 1), (1, "soon", 1), ("2", "soon", 1), (3, 126001, 1), (" 3", "soon", 1), (6, 126001, 3),
+        (7, "soon", 1), (7, "soon", 1))
+    while run_sync(flow, raw, store, limit=2).outcome != "NO_OP":
+        runs += 1
+    assert runs == 3
+    assert values(stored(store, flow), "ref") == [("1",), ("6",)]
+    assert store.watermark("customers") == (126001, 3)
+
+
 def test_a_rejected_batch_is_read_again(spark, store):
     raw = people(spark, (1, "soon", 1), (2, "soon", 1), (3, "soon", 1))
     refused = spark.createDataFrame([("1", "no")], "entity_id string, error string")

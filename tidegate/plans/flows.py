@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import types as T
 
 from tidegate import schemas as S
+from tidegate.functions import parse_decimal_key, parse_long
 from tidegate.operators import load, report, transform, validate
 
 Step = Callable[[DataFrame], DataFrame]
@@ -46,7 +47,8 @@ PRODUCT_TARGET = T.StructType([
 class TableFlow:
     """One migrated table.  A new table is a new instance, not new run code.
 
-    ``payload`` maps rows that carry ``target_id`` to target rows that keep that column.
+    ``payload`` maps rows that carry ``target_id`` to target rows that keep that column.  ``source_key`` makes of
+    the raw ``key`` what ``transform`` makes of it.
     """
 
     table_name: str
@@ -62,6 +64,7 @@ class TableFlow:
     preview: list[str]
     validated_columns: list[tuple[str, str]]
     failed_columns: list[tuple[str, str]]
+    source_key: Callable[[Column], Column] = parse_long
 
     def describe(self) -> str:
         return f"{self.table_name} -> target_{self.entity}"
@@ -101,4 +104,5 @@ def item_flow(units: DataFrame) -> TableFlow:
         preview=S.PRODUCT_PREVIEW,
         validated_columns=report.ITEM_VALIDATED,
         failed_columns=report.ITEM_FAILED,
+        source_key=parse_decimal_key,
     )

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from tidegate import schemas as S
 from tidegate.functions import content_hash
 from tidegate.operators import conflict, load, report
+from tidegate.operators.keys import key_counts
 from tidegate.operators.numbering import number_rows
 from tidegate.operators.validate import failed_rows, valid_rows
 from tidegate.operators.watermark import (
@@ -88,11 +89,14 @@ def extract(raw: Raw, flow: TableFlow, mark: Mark, limit: int | None, seen: Data
     """Everything past the watermark, or the first ``limit`` rows of it in contract order.
 
     Rows without a change time come last.  ``seen`` are rows that earlier limited runs have read although the
-    watermark has not passed them: those without a change time, and those of a change time that the limit cut.
-    They are left out, so limited runs end whatever the limit is.
+    watermark has not passed them: those without a change time, those of a change time that the limit cut, and
+    copies read ahead.  They are left out, so limited runs end whatever the limit is.
 
-    The source is read for counts of its change times and for the rows up to the one that the limit
-    reaches, which are stored; the batch and the watermark are made from the stored rows alone.
+    Rows that share a key with one of these are read with them, whatever the limit: a repeated key is
+    refused by the limited run that meets it, as it is by a run over everything.
+
+    The source is read for counts of its change times and of its keys, and for the rows up to the one that the
+    limit reaches, which are stored; the watermark is made from the stored rows alone.
     """
     changed = past_watermark(raw, mark)
     if not limit:
@@ -106,13 +110,16 @@ def extract(raw: Raw, flow: TableFlow, mark: Mark, limit: int | None, seen: Data
     if seen is not None:
         seen = seen.where(F.coalesce(changed_after(F.col("upmj"), F.col("upmt"), *mark), F.lit(True)))
         skip = seen.count()
-    last = nth_change_time(changed, limit + skip)
-    pool = changed if last is None else changed.where(up_to(last))
-    pool = pool.select("*", row_hash.alias("_raw_hash"))
     if skip:
         known = seen.select(F.col("row_hash").alias("_raw_hash")).distinct()
-        pool = pool.join(F.broadcast(known) if fits_broadcast(known) else known, "_raw_hash", "left_anti")
-    pool = materialize(pool, "pool")
+        known = F.broadcast(known) if fits_broadcast(known) else known
+
+    def unseen(rows: DataFrame) -> DataFrame:
+        hashed = rows.select("*", row_hash.alias("_raw_hash"))
+        return hashed.join(known, "_raw_hash", "left_anti") if skip else hashed
+
+    bound = nth_change_time(changed, limit + skip)
+    pool = materialize(unseen(changed if bound is None else changed.where(up_to(bound))), "pool")
 
     last = nth_change_time(pool, limit)
     timed = F.col("_upmj").isNotNull() & F.col("_upmt").isNotNull()
@@ -124,12 +131,35 @@ def extract(raw: Raw, flow: TableFlow, mark: Mark, limit: int | None, seen: Data
         edge = number_rows(edge, order, F.lit(0), "_place").where(F.col("_place") <= room).drop("_place")
     batch = materialize(whole.unionByName(edge), "batch")
     covered = batch.where(changed_before(last)) if cut and last is not None else batch
-    left = batch.where(~timed if last is None or not cut else ~timed | ~changed_before(last))
+    reached = tuple(latest_change(covered, *mark).first())
+    if cut or bound is not None:
+        batch = with_copies(batch, changed, unseen, flow)
+    beyond = ~timed if last is None or not cut else ~timed | ~changed_before(last)
+    left = batch.where(beyond | changed_after(F.col("_upmj"), F.col("_upmt"), *reached))
     return Extract(
-        batch.drop("_raw_hash"), tuple(latest_change(covered, *mark).first()),
+        batch.drop("_raw_hash"), reached,
         left.select(F.col("_raw_hash").alias("row_hash"), F.col("_upmj").alias("upmj"), F.col("_upmt").alias("upmt")))
 
 
+def with_copies(
+    batch: DataFrame, changed: DataFrame, unseen: Callable[[DataFrame], DataFrame], flow: TableFlow
+) -> DataFrame:
+    """The batch and all other unseen rows that share a key with one of its rows.
+
+    Only keys and their counts are compared; rows move for the keys that have copies elsewhere.
+    """
+    key = flow.source_key(F.col(flow.key)).alias("_key")
+    inside = key_counts(batch.select(key), ["_key"]).withColumnRenamed("n", "_inside")
+    short = materialize(
+        key_counts(changed.select(key), ["_key"]).join(inside, "_key").where("n > _inside").select("_key"), "short")
+    if short.isEmpty():
+        return batch
+    wanted = F.broadcast(short) if fits_broadcast(short) else short
+    rest = batch.select("*", key).join(wanted, "_key", "left_anti").drop("_key")
+    copies = unseen(changed.select("*", key).join(wanted, "_key", "left_semi").drop("_key"))
+    return materialize(rest.unionByName(copies), "batch")
+
+
 def changed_before(mark: Mark) -> Column:
     """Strictly before the change time; never for rows without one."""
     return F.coalesce(
