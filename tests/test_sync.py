@@ -1,9 +1,11 @@
 import glob
+import os
 
 import pytest
 from helpers import customers, items, units, values
 
 from tidegate.plans import customer_flow, item_flow, run_migration, run_sync
+from tidegate.runtime import materialize, shared_dir
 
 
 def people(spark, *pairs, **extra):
@@ -42,6 +44,24 @@ def test_rows_without_change_time_are_read_again_and_skipped(spark, store):
     assert stored(store, flow).count() == 2
 
 
+def test_a_first_load_sorts_its_rows_once_and_stores_outcomes_in_one_place(spark, store):
+    def stored_steps():
+        return {os.path.basename(p).split("-")[0]: 1 for p in set(glob.glob(f"{scratch}/*")) - before}, len(
+            set(glob.glob(f"{scratch}/sorted-*")) - before)
+
+    scratch = f"{shared_dir(spark)}/tidegate-scratch"
+    before = set(glob.glob(f"{scratch}/*"))
+    run_sync(customer_flow(), people(spark, (1, 126001, 5), (2, 126001, 9)), store)
+    steps, sorts = stored_steps()
+    assert sorts == 1 and "plan" in steps and "outcomes" not in steps
+    assert values(store.load_log(), "log_id", "target_id") == [(1, 1), (2, 2)]
+
+
+def test_rows_of_one_task_are_stored_for_many(spark):
+    rows = materialize(spark.range(10).coalesce(1), "rows", 3)
+    assert len(rows.inputFiles()) == 4 and rows.count() == 10
+
+
 def test_dry_run_writes_nothing(spark, store):
     result = run_sync(customer_flow(), people(spark, (1, 126001, 5)), store, dry_run=True)
     assert (result.outcome, result.exit_code, result.records_valid) == ("DRY_RUN", 0, 1)

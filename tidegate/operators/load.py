@@ -184,13 +184,20 @@ def number_created(outcomes: DataFrame, greatest: int) -> DataFrame:
     return number_rows(outcomes.where("created").drop("target_id"), ORDER, F.lit(greatest), "target_id")
 
 
-def log_rows(outcomes: DataFrame, entity: str, batch_id: str, run_at: Column, greatest: int = 0) -> DataFrame:
+def log_rows(
+    outcomes: DataFrame, entity: str, batch_id: str, run_at: Column, greatest: int = 0, place: Column | None = None,
+) -> DataFrame:
     """Load-log rows of a batch, with log ids that follow ``greatest`` in processing order, without gaps.
 
-    Skipped rows are not logged again.
+    Skipped rows are not logged again.  ``place`` is the place of each logged row in that order, from 1, if it is known.
     """
-    logged = outcomes.where(F.col("status") != SKIPPED)
-    return number_rows(logged, ORDER, F.lit(greatest), "_log_id").select(
+    needed = [*ORDER, "attempt_number", "entity_id", "status", "target_id", "error", "name"]
+    logged = outcomes.where(F.col("status") != SKIPPED).select(*needed)  # only these are sorted
+    if place is None:
+        numbered = number_rows(logged, ORDER, F.lit(greatest), "_log_id")
+    else:
+        numbered = logged.select("*", (F.lit(greatest) + place).alias("_log_id"))
+    return numbered.select(
         F.col("_log_id").cast("bigint").alias("log_id"),
         F.lit(batch_id).alias("batch_id"),
         "attempt_number",

@@ -19,7 +19,8 @@ def number_rows(df: DataFrame, order: list[str], start: Column, name: str) -> Da
     part = F.shiftright("_row", 33)
     sizes = stored.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_size"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
+    offsets = materialize(
+        sizes.select("_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset")), "offsets")
     position = F.col("_row").bitwiseAND(F.lit((1 << 33) - 1))
     return (
         stored.select("*", part.alias("_part"))

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tidegate import schemas as S
 from tidegate.functions import content_hash
 from tidegate.operators import conflict, load, report
-from tidegate.operators.keys import key_counts
+from tidegate.operators.keys import key_counts, unique_lookup
 from tidegate.operators.numbering import number_rows
 from tidegate.operators.validate import failed_rows, valid_rows
 from tidegate.operators.watermark import (
@@ -25,7 +25,7 @@ from tidegate.operators.watermark import (
     with_change_time,
 )
 from tidegate.plans.flows import TableFlow
-from tidegate.runtime import fits_broadcast, materialize
+from tidegate.runtime import FILE_ROWS, fits_broadcast, materialize
 from tidegate.sinks import Commit, StateStore, write_preview, write_report
 from tidegate.sinks.state import watermark_row
 
@@ -100,7 +100,7 @@ def extract(raw: Raw, flow: TableFlow, mark: Mark, limit: int | None, seen: Data
     """
     changed = past_watermark(raw, mark)
     if not limit:
-        batch = materialize(changed, "batch")
+        batch = materialize(changed, "batch", FILE_ROWS)
         return Extract(batch, tuple(latest_change(batch, *mark).first()))
 
     columns = [f.name for f in flow.raw_schema]
@@ -119,7 +119,7 @@ def extract(raw: Raw, flow: TableFlow, mark: Mark, limit: int | None, seen: Data
         return hashed.join(known, "_raw_hash", "left_anti") if skip else hashed
 
     bound = nth_change_time(changed, limit + skip)
-    pool = materialize(unseen(changed if bound is None else changed.where(up_to(bound))), "pool")
+    pool = materialize(unseen(changed if bound is None else changed.where(up_to(bound))), "pool", FILE_ROWS)
 
     last = nth_change_time(pool, limit)
     timed = F.col("_upmj").isNotNull() & F.col("_upmt").isNotNull()
@@ -129,7 +129,7 @@ def extract(raw: Raw, flow: TableFlow, mark: Mark, limit: int | None, seen: Data
     cut = edge.count() > room
     if cut:  # only rows of one change time are ever sorted
         edge = number_rows(edge, order, F.lit(0), "_place").where(F.col("_place") <= room).drop("_place")
-    batch = materialize(whole.unionByName(edge), "batch")
+    batch = materialize(whole.unionByName(edge), "batch", FILE_ROWS)
     covered = batch.where(changed_before(last)) if cut and last is not None else batch
     reached = tuple(latest_change(covered, *mark).first())
     if cut or bound is not None:
@@ -157,7 +157,7 @@ def with_copies(
     wanted = F.broadcast(short) if fits_broadcast(short) else short
     rest = batch.select("*", key).join(wanted, "_key", "left_anti").drop("_key")
     copies = unseen(changed.select("*", key).join(wanted, "_key", "left_semi").drop("_key"))
-    return materialize(rest.unionByName(copies), "batch")
+    return materialize(rest.unionByName(copies), "batch", FILE_ROWS)
 
 
 def changed_before(mark: Mark) -> Column:
@@ -203,7 +203,8 @@ def load_batch(
     planned = materialize(load.plan_load(valid, history, existing, rejections), "plan")
     target_table = f"target_{flow.entity}"
     created = load.number_created(planned, commit.high(target_table))
-    outcomes = materialize(planned.where(~F.col("created")).unionByName(created), "outcomes")
+    # Both parts are stored; together they are not written once more.
+    outcomes = planned.where(~F.col("created")).unionByName(created)
 
     fields = [f.name for f in flow.target_schema if f.name not in ("id", "version")]
 
@@ -214,18 +215,20 @@ def load_batch(
     new = outcomes.where("created")
     counted = outcomes.agg(
         F.max(F.when(F.col("created"), F.col("target_id"))).alias("last_id"),
+        F.count_if("created").alias("created"),
         F.count_if(F.col("status") != S.SKIPPED).alias("logged"),
         F.count_if(F.col("status") == S.FAILED).alias("failed"),
         F.count_if(F.col("status") == S.LOADED).alias("loaded"),
     ).first()
     written = target_rows(new)
-    hashes = new.select("entity_id", content_hash(new, flow.hash_fields).alias("_hash"))
+    hashed = outcomes.select("*", F.when(F.col("created"), content_hash(outcomes, flow.hash_fields)).alias("_hash"))
+    updated = None
 
     if on_existing is not None:
         found = outcomes.where(~F.col("created") & F.col("status").isin(S.SKIPPED, S.LOADED))
-        hashed = found.select("*", content_hash(found, flow.hash_fields).alias("content_hash"))
+        compared = found.select("*", content_hash(found, flow.hash_fields).alias("content_hash"))
         decided = conflict.decide(
-            conflict.conflict_inputs(hashed, existing, known.select("entity_id", "last_hash")), on_existing)
+            conflict.conflict_inputs(compared, existing, known.select("entity_id", "last_hash")), on_existing)
         decided = materialize(decided.where("change != 'insert'"), "decided")
         commit.append("conflicts", decided.select(
             F.lit(batch_id).alias("batch_id"), F.lit(flow.entity).alias("entity_type"), "entity_id",
@@ -235,12 +238,14 @@ def load_batch(
         updates = decided.where(F.col("action") == S.UPDATE).withColumn(
             "target_id", F.col("existing_id"))
         written = written.unionByName(target_rows(updates))
-        hashes = hashes.unionByName(updates.select("entity_id", F.col("content_hash").alias("_hash")))
+        updated = updates.select("entity_id", F.col("content_hash").alias("_updated"))
 
     commit.append(target_table, written, flow.ref, flow.target_schema, counted["last_id"])
-    logged = load.log_rows(outcomes, flow.entity, batch_id, moment, commit.high("load_log"))
+    # If the created rows are all that is logged, as in a first load, they are in log order already.
+    ordered = F.col("target_id") - commit.high(target_table) if counted["created"] == counted["logged"] else None
+    logged = load.log_rows(outcomes, flow.entity, batch_id, moment, commit.high("load_log"), ordered)
     commit.append("load_log", logged, "entity_id", S.LOAD_LOG, commit.high("load_log") + counted["logged"])
-    changed = current_rows(outcomes, known, hashes)
+    changed = current_rows(hashed, known, updated)
     commit.merge(f"current_{flow.entity}", materialize(changed, "current"), "entity_id", S.CURRENT_STATE)
     if reached is not None and counted["failed"] == 0:
         commit.append("watermarks", watermark_row(
@@ -253,10 +258,16 @@ def load_batch(
     return outcomes, history
 
 
-def current_rows(outcomes: DataFrame, known: DataFrame, hashes: DataFrame) -> DataFrame:
-    """State of each entity that a batch logged or wrote, after the batch; no side holds an entity twice."""
-    kept = ["entity_id", "status", "target_id", "created", "attempt_number"]
-    rows = outcomes.select(*kept).join(known, "entity_id", "left").join(hashes, "entity_id", "left")
+def current_rows(hashed: DataFrame, known: DataFrame, updated: DataFrame | None = None) -> DataFrame:
+    """State of each entity that a batch logged or wrote, after the batch; no side holds an entity twice.
+
+    ``hashed`` are outcomes with ``_hash`` of the rows created, ``updated`` holds the ``_updated`` hash of others written.
+    """
+    kept = ["entity_id", "status", "target_id", "created", "attempt_number", "_hash"]
+    rows = unique_lookup(hashed.select(*kept), known, ["entity_id"], left_is_unique=True)
+    if updated is not None:
+        rows = unique_lookup(rows, updated, ["entity_id"], left_is_unique=True).withColumn(
+            "_hash", F.coalesce("_hash", "_updated"))
     logged, loaded = F.col("status") != S.SKIPPED, F.col("status") == S.LOADED
     return rows.where(logged | F.col("_hash").isNotNull()).select(
         "entity_id",
@@ -311,7 +322,7 @@ def process_batch(
     batch's commit, and take part in the next batch in contract order.  A row of the batch itself,
     valid or not, takes the place of a waiting one with its key.
     """
-    validated = materialize(flow.validate(flow.transform(batch)), "validated")
+    validated = materialize(flow.validate(flow.transform(batch)), "validated", FILE_ROWS)
     counts = report.run_counts(validated).first()
     result.records_extracted = counts["extracted"]
     result.records_valid = counts["valid"]

@@ -15,6 +15,10 @@ BROADCAST_BYTES = 32 << 20
 # A key with more rows than this is more than a task should read: it is set apart.
 HOT_ROWS = 1_000_000
 
+# Rows to a file of a landed batch.  What follows then runs in as many tasks as the rows need, however few files
+# or bytes the source had: the work on text columns grows with the rows, not with the compressed bytes.
+FILE_ROWS = 50_000
+
 # Session settings that suit these plans; pass them to the session builder.
 SESSION_SETTINGS = {
     # Wide projections of text functions exceed what the JVM compiles as one method;
@@ -51,15 +55,15 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/tidegate-scratch/{label}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` once to the shared folder and return the stored table.
+def materialize(df: DataFrame, label: str, file_rows: int = 0) -> DataFrame:
+    """Write ``df`` once to the shared folder and return the stored table, ``file_rows`` rows to a file if given.
 
     Cuts lineage, so a lost executor re-reads files instead of recomputing the plan,
     several consumers do not repeat the work, and the optimizer sees the real size.
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.mode("errorifexists").parquet(path)
+    df.write.mode("errorifexists").option("maxRecordsPerFile", file_rows).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -44,13 +44,18 @@ _MANIFEST = T.StructType([
 def read_or_empty(spark: SparkSession, path: str | list[str], schema: T.StructType) -> DataFrame:
     """A stored table, or an empty one when nothing has been stored yet."""
     if not path:
-        return spark.createDataFrame([], schema)
+        return empty_table(spark, schema)
     try:
         return spark.read.schema(schema).parquet(*([path] if isinstance(path, str) else path))
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], schema)
+        return empty_table(spark, schema)
+
+
+def empty_table(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    """Known to be empty when a plan is made, so that what joins it falls away."""
+    return spark.range(1).where("false").select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema])
 
 
 @dataclass
