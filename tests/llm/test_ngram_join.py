@@ -88,3 +88,28 @@ def test_sample_documents(spark):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
     check(spark, rows)
     check(spark, rows, 5, 80)
+
+
+def test_driver_gets_no_rows_and_components_are_found_once(spark, monkeypatch):
+    from tidegate.llm import ngram_join
+
+    found, runs, kind = [], [], type(spark.range(1))
+    collect, components = kind.collect, ngram_join.components
+
+    def collected(df):
+        rows = collect(df)
+        found.append(len(rows))
+        return rows
+
+    def counted(edges):
+        runs.append(edges)
+        return components(edges)
+
+    rows = [(i, " ".join(f"w{i % 5}x{j}" for j in range(60)) + ("" if i < 5 else f" end{i}")) for i in range(20)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    monkeypatch.setattr(kind, "collect", collected)
+    monkeypatch.setattr(ngram_join, "components", counted)
+    result = similar_documents(df, 3, 90)
+    monkeypatch.undo()
+    assert {(r.doc_id, r.component_id) for r in result.collect()} == {(i, i % 5) for i in range(20)}
+    assert max(found, default=0) <= 1 and len(runs) == 1

@@ -213,9 +213,11 @@ def similar_documents(
     often = profiles.where("n = -1").select(F.explode(F.arrays_zip("often", "times")).alias("x")).groupBy(
         F.col("x.often").alias("shingle")).agg(F.sum("x.times").alias("n"))
     profiles = profiles.where("n >= 0").drop("often", "times")
-    often = sorted((r["shingle"] % 2**64, r["n"]) for r in often.orderBy(F.desc("n"), "shingle").limit(MOST_FREQUENT).collect())
-    sent = spark.sparkContext.broadcast(  # 16 bytes an entry, MOST_FREQUENT entries at most
-        (np.array([x for x, _ in often], dtype=np.uint64), np.array([n for _, n in often], dtype=np.int64)))
+    # As Arrow columns: a task picks the most frequent ones, and the driver gets 16 bytes an entry and no row objects.
+    often = often.orderBy(F.desc("n"), "shingle").limit(MOST_FREQUENT).toArrow()
+    known, frequency = often["shingle"].to_numpy().view(np.uint64), often["n"].to_numpy()
+    order = np.argsort(known)
+    sent = spark.sparkContext.broadcast((known[order], frequency[order]))
     sketch = ", ".join(f"s{i} long" for i in range(SKETCH))
     prefixes = docs.mapInPandas(
         _prefixes(sent, words, similarity),
@@ -296,7 +298,8 @@ def similar_documents(
     more = more.join(pairs, ["a", "b"], "left_anti")
     more = verified(materialize(more, "pairs"))
 
-    nodes = components(links.unionAll(more)).withColumnRenamed("node", "class")
+    nodes = connected if more.isEmpty() else components(links.unionAll(more))
+    nodes = nodes.withColumnRenamed("node", "class")
     result = profiles.join(classes, ["n", "d1", "d2"], "left").join(nodes, "class", "left").select(
         "key", F.col("n").alias("n_shingles"), F.coalesce("component", "class", "key").alias("component"))
     if rows is None:
