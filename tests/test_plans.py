@@ -104,3 +104,13 @@ def test_duplicates_aggregate_before_the_shuffle(spark):
 
 def test_shared_folder_comes_from_the_session(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_rows_of_one_split_are_dealt_to_tasks_by_their_number(spark):
+    from tidegate.runtime import spread
+
+    rows = spark.range(0, 10, 1, 1)
+    assert spread(rows, 10).rdd.getNumPartitions() == 1
+    dealt = spread(rows, 3)
+    assert dealt.rdd.getNumPartitions() == 4
+    assert sorted(r.id for r in dealt.collect()) == list(range(10))

@@ -75,3 +75,22 @@ def test_row_rules_on_a_stream(spark, tmp_path):
     assert values(spark.table("validated"), "_source_key", "_failed_rule") == [
         (1, None), (2, "RULE_07_CITY_REQUIRED")
     ]
+
+
+def test_an_epoch_lands_in_files_of_bounded_rows_and_refusals_are_worked_out_once(spark, store, monkeypatch):
+    from tidegate import runtime
+    from tidegate.operators import load
+    from tidegate.streaming import sync
+
+    labels = {}
+
+    def stored(df, label, file_rows=0):
+        labels[label] = file_rows
+        return runtime.materialize(df, label, file_rows)
+
+    for module in (sync, load):
+        monkeypatch.setattr(module, "materialize", stored)
+    refused = spark.createDataFrame([("2", "locked")], "entity_id string, error string")
+    result = sync_epoch(customer_flow(), store, customers(spark, {"AN8": "1"}, {"AN8": "2"}), "s:0", refused)
+    assert (result.records_loaded, result.load_failed) == (1, 1)
+    assert labels["batch"] == runtime.FILE_ROWS and "reasons" in labels

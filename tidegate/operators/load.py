@@ -111,14 +111,15 @@ def only_keys(state: DataFrame, keys: DataFrame, column: str = "entity_id") -> D
 def plan_load(
     valid: DataFrame,
     history: DataFrame,
-    existing: DataFrame,
+    existing: DataFrame | None,
     rejections: DataFrame | None = None,
 ) -> DataFrame:
     """Outcome of every valid row, without side effects.
 
     ``history`` comes from ``log_history`` and ``existing`` from ``target_ids``; both hold
     an entity id once, and so does ``valid``.  Stored tables are best for both, since
-    their size decides whether the wide rows have to be shuffled at all.
+    their size decides whether the wide rows have to be shuffled at all.  ``history`` may hold
+    ``existing_id`` itself, and ``existing`` is None then: the rows meet their state once.
 
     ``rejections`` (``entity_id``, ``error``) names rows the target would refuse.  The
     first refused row that reaches the create step fails, and later rows are not
@@ -126,7 +127,8 @@ def plan_load(
     ordered scan, so the batch stays distributed.
     """
     rows = unique_lookup(with_entity_id(valid), history, ["entity_id"], left_is_unique=True)
-    rows = unique_lookup(rows, existing, ["entity_id"], left_is_unique=True)
+    if existing is not None:
+        rows = unique_lookup(rows, existing, ["entity_id"], left_is_unique=True)
     was_loaded = F.coalesce("was_loaded", F.lit(False))
     exists = F.col("existing_id").isNotNull()
     place = F.struct(*ORDER)
@@ -135,8 +137,8 @@ def plan_load(
         stopped = refused = F.lit(False)
         error = F.lit(None).cast("string")
     else:
-        reasons = rejections.groupBy("entity_id").agg(
-            F.min("error").alias("_error"), F.lit(True).alias("_refused"))
+        reasons = materialize(rejections.groupBy("entity_id").agg(  # else worked out again to be measured
+            F.min("error").alias("_error"), F.lit(True).alias("_refused")), "reasons")
         # Stored with its state: the first refused row is found in it before the rest is decided.
         rows = materialize(unique_lookup(rows, reasons, ["entity_id"], left_is_unique=True), "refusals")
         first = rows.where(F.col("_refused") & ~was_loaded & ~exists).agg(F.min(

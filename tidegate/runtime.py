@@ -67,6 +67,15 @@ def materialize(df: DataFrame, label: str, file_rows: int = 0) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame, rows: int = FILE_ROWS) -> DataFrame:
+    """``df`` dealt out to tasks of so many rows, for work on its rows that costs more than moving them.
+
+    A small file of many rows is one split, whose single task would otherwise do all of that work.
+    """
+    tasks = -(-df.count() // rows)
+    return df if tasks < 2 else df.repartition(tasks)
+
+
 def row_bytes(df: DataFrame) -> Column:
     """About what a row takes in memory: the bytes of its texts and 8 for any other value."""
     sizes = []

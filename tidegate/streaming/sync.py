@@ -12,7 +12,7 @@ from tidegate.operators.validate import Rule, apply_rules
 from tidegate.operators.watermark import latest_change, with_change_time
 from tidegate.plans.flows import TableFlow
 from tidegate.plans.runs import SyncResult, new_run, process_batch
-from tidegate.runtime import materialize
+from tidegate.runtime import FILE_ROWS, materialize
 from tidegate.sinks import StateStore
 
 Refusals = DataFrame | Callable[[int], DataFrame | None] | None
@@ -42,7 +42,7 @@ def sync_epoch(
     if store.published(epoch):
         result.outcome, result.message = "REPLAYED", f"{epoch} is committed already"
         return result
-    batch = materialize(with_change_time(rows), "batch")
+    batch = materialize(with_change_time(rows), "batch", FILE_ROWS)
     if batch.isEmpty():
         return None
     reached = tuple(latest_change(batch, *mark).first())
