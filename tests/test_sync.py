@@ -238,3 +238,23 @@ def test_migration_live_ignores_the_watermark(spark, store, tmp_path):
     result = run_migration(flow, raw, store, out, dry_run=False)
     assert (result.outcome, result.records_skipped) == ("SUCCESS_WITH_SKIPS", 1)
     assert store.watermark("customers") == (126001, 1)
+
+
+def test_rows_meet_their_state_once_in_the_plan_and_once_in_the_decisions(spark, store, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from tidegate.plans import runs
+    from tidegate.runtime import materialize
+
+    joins = {}
+
+    def stored(df, label, file_rows=0):
+        joins[label] = df._jdf.queryExecution().optimizedPlan().toString().count("Join LeftOuter")
+        return materialize(df, label, file_rows)
+
+    flow, raw = customer_flow(), customers(spark, {"AN8": "1"}, {"AN8": "2"})
+    run_sync(flow, raw, store)
+    monkeypatch.setattr(runs, "materialize", stored)
+    run_sync(flow, raw.withColumns({"UPMJ": F.lit("126050"), "CTY1": F.lit("Iloilo")}), store, on_existing="SOURCE_WINS")
+    assert joins["plan"] == joins["decided"] == 1
+    assert values(store.current_target(flow.entity, flow.target_schema), "ref", "city") == [("1", "Iloilo"), ("2", "Iloilo")]

@@ -199,8 +199,7 @@ def load_batch(
     current = store.current(flow.entity, store.buckets_of(keys, "entity_id"), commit.at)
     known = materialize(load.only_keys(current, keys), "known")
     history = known.select("entity_id", "was_loaded", "last_id", "attempts")
-    existing = known.where("existing_id IS NOT NULL").select("entity_id", "existing_id")
-    planned = materialize(load.plan_load(valid, history, existing, rejections), "plan")
+    planned = materialize(load.plan_load(valid, known.drop("last_hash"), None, rejections), "plan")
     target_table = f"target_{flow.entity}"
     created = load.number_created(planned, commit.high(target_table))
     # Both parts are stored; together they are not written once more.
@@ -227,9 +226,9 @@ def load_batch(
     if on_existing is not None:
         found = outcomes.where(~F.col("created") & F.col("status").isin(S.SKIPPED, S.LOADED))
         compared = found.select("*", content_hash(found, flow.hash_fields).alias("content_hash"))
-        decided = conflict.decide(
-            conflict.conflict_inputs(compared, existing, known.select("entity_id", "last_hash")), on_existing)
-        decided = materialize(decided.where("change != 'insert'"), "decided")
+        compared = unique_lookup(
+            compared, known.select("entity_id", "existing_id", "last_hash"), ["entity_id"], left_is_unique=True)
+        decided = materialize(conflict.decide(compared, on_existing).where("change != 'insert'"), "decided")
         commit.append("conflicts", decided.select(
             F.lit(batch_id).alias("batch_id"), F.lit(flow.entity).alias("entity_type"), "entity_id",
             F.col("existing_id").alias("target_id"), "change", "action", "reason", "strategy",
