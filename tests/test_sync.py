@@ -3,6 +3,7 @@ import os
 
 import pytest
 from helpers import customers, items, units, values
+from pyspark.sql import functions as F
 
 from tidegate.plans import customer_flow, item_flow, run_migration, run_sync
 from tidegate.runtime import materialize, shared_dir
@@ -258,3 +259,47 @@ def test_rows_meet_their_state_once_in_the_plan_and_once_in_the_decisions(spark,
     run_sync(flow, raw.withColumns({"UPMJ": F.lit("126050"), "CTY1": F.lit("Iloilo")}), store, on_existing="SOURCE_WINS")
     assert joins["plan"] == joins["decided"] == 1
     assert values(store.current_target(flow.entity, flow.target_schema), "ref", "city") == [("1", "Iloilo"), ("2", "Iloilo")]
+
+
+def test_state_after_a_batch_needs_no_join_and_decisions_no_wide_rows(spark, store, monkeypatch):
+    from tidegate.plans import runs
+    from tidegate.runtime import materialize
+
+    stored_as = {}
+
+    def stored(df, label, file_rows=0):
+        stored_as[label] = df.columns, df._jdf.queryExecution().optimizedPlan().toString().count("Join LeftOuter")
+        return materialize(df, label, file_rows)
+
+    flow, raw = customer_flow(), customers(spark, {"AN8": "1"}, {"AN8": "2"})
+    run_sync(flow, raw, store)
+    monkeypatch.setattr(runs, "materialize", stored)
+    moved = {"UPMJ": F.lit("126050"), "CTY1": F.when(F.col("AN8") == "1", "Iloilo").otherwise(F.col("CTY1"))}
+    run_sync(flow, raw.withColumns(moved), store, on_existing="SOURCE_WINS")
+    assert stored_as["current"][1] == 0 and "street" not in stored_as["decided"][0]
+    latest = store.current_target(flow.entity, flow.target_schema, ["ref", "city"])
+    assert latest.columns == ["id", "ref", "city"]
+    assert values(latest, "ref", "city") == [("1", "Iloilo"), ("2", "Bacolod")]
+
+
+@pytest.mark.parametrize("strategy", ["SOURCE_WINS", "TARGET_WINS", "FLAG", None])
+def test_state_of_created_found_and_unprocessed_rows(spark, store, strategy):
+    """2 is in the target without a log, 4 is refused, 5 is in the target and comes after it."""
+    from tidegate.schemas import LOAD_LOG
+
+    flow = customer_flow()
+    old = spark.createDataFrame([(40, "2"), (50, "5")], "id long, ref string")
+    target = old.select("id", "ref", *[F.lit(None).cast(f.dataType).alias(f.name) for f in flow.target_schema if f.name not in ("id", "ref")])
+    store.adopt(flow.entity, spark.createDataFrame([], LOAD_LOG), target, flow.target_schema, flow.ref)
+    run_sync(flow, people(spark, (1, 126001, 1), (2, 126001, 2)), store)
+    hashes = dict(values(store.current(flow.entity), "entity_id", "last_hash"))
+    assert hashes["1"] and hashes["2"] is None
+    refused = spark.createDataFrame([("4", "no")], "entity_id string, error string")
+    run_sync(flow, people(spark, (1, 126002, 1), (2, 126002, 2), (4, 126002, 3), (5, 126002, 4)), store, False, None, refused, strategy)
+    found = {r.entity_id: r for r in store.current(flow.entity).collect()}
+    assert [(k, r.was_loaded, r.last_id, r.attempts, r.existing_id) for k, r in sorted(found.items())] == [
+        ("1", True, 51, 1, 51), ("2", True, 40, 1, 40), ("4", False, None, 1, None), ("5", False, None, 1, 50)]
+    assert found["1"].last_hash == hashes["1"] and found["4"].last_hash is None and found["5"].last_hash is None
+    assert (found["2"].last_hash is not None) == (strategy == "SOURCE_WINS")
+    names = dict(values(stored(store, flow), "id", "name"))
+    assert (names[40] is not None) == (strategy == "SOURCE_WINS") and names[50] is None

@@ -1106,7 +1106,8 @@ def sync_conflict_flag(t: Tables) -> DataFrame:
     FROM {valid_customers}"""))
 def sync_conflict_update(t: Tables) -> DataFrame:
     flow = customer_flow()
-    return _two_syncs(t, S.SOURCE_WINS).current_target(flow.entity, flow.target_schema).select("ref", "city")
+    shown = ["ref", "city"]
+    return _two_syncs(t, S.SOURCE_WINS).current_target(flow.entity, flow.target_schema, shown).select(*shown)
 
 
 # Previews and reports.

@@ -31,6 +31,17 @@ def change_kind(df: DataFrame) -> Column:
     )
 
 
+def action_for(change: Column, chosen: Column) -> Column:
+    """NONE (create), SKIP, UPDATE or FLAG."""
+    return (
+        F.when(change == "insert", NONE)
+        .when(change == "unchanged", SKIP)
+        .when(chosen == SOURCE_WINS, UPDATE)
+        .when(chosen == TARGET_WINS, SKIP)
+        .when(chosen == FLAG, FLAG)
+    )
+
+
 def conflict_inputs(hashed: DataFrame, existing: DataFrame, last_hashes: DataFrame) -> DataFrame:
     """Source rows (entity_id, content_hash, ...) with target id and last stored hash.
 
@@ -41,21 +52,14 @@ def conflict_inputs(hashed: DataFrame, existing: DataFrame, last_hashes: DataFra
 
 
 def decide(inputs: DataFrame, strategy: str | Column) -> DataFrame:
-    """Add change, action, reason and strategy.
+    """Add change, action (see ``action_for``), reason and strategy.
 
-    Actions: NONE (create), SKIP, UPDATE or FLAG.  The strategy, a literal or a column,
+    The strategy, a literal or a column,
     only matters for a changed row; it is null for a row that is new to the target.
     """
     chosen = _strategy_column(strategy)
     rows = inputs.select("*", change_kind(inputs).alias("change"), chosen.alias("_chosen"))
     change, chosen = F.col("change"), F.col("_chosen")
-    action = (
-        F.when(change == "insert", NONE)
-        .when(change == "unchanged", SKIP)
-        .when(chosen == SOURCE_WINS, UPDATE)
-        .when(chosen == TARGET_WINS, SKIP)
-        .when(chosen == FLAG, FLAG)
-    )
     target = F.concat(F.lit("target row "), F.col("existing_id").cast("string"))
     reason = (
         F.when(change == "insert", "Not in the target yet")
@@ -67,7 +71,7 @@ def decide(inputs: DataFrame, strategy: str | Column) -> DataFrame:
     return rows.select(
         *inputs.columns,
         "change",
-        action.alias("action"),
+        action_for(change, chosen).alias("action"),
         reason.alias("reason"),
         F.when(change != "insert", chosen).alias("strategy"),
     )

@@ -6,6 +6,8 @@ by an earlier rejection, then already in the target, then create (or rejection).
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -113,13 +115,15 @@ def plan_load(
     history: DataFrame,
     existing: DataFrame | None,
     rejections: DataFrame | None = None,
+    carried: Sequence[str] = (),
 ) -> DataFrame:
     """Outcome of every valid row, without side effects.
 
     ``history`` comes from ``log_history`` and ``existing`` from ``target_ids``; both hold
     an entity id once, and so does ``valid``.  Stored tables are best for both, since
     their size decides whether the wide rows have to be shuffled at all.  ``history`` may hold
-    ``existing_id`` itself, and ``existing`` is None then: the rows meet their state once.
+    ``existing_id`` itself, and ``existing`` is None then: the rows meet their state once.  ``carried`` names
+    columns of it that the outcomes keep.
 
     ``rejections`` (``entity_id``, ``error``) names rows the target would refuse.  The
     first refused row that reaches the create step fails, and later rows are not
@@ -170,6 +174,7 @@ def plan_load(
         (loaded & ~exists).alias("created"),
         (F.coalesce("attempts", F.lit(0)) + 1).cast("int").alias("attempt_number"),
         "last_id",
+        *carried,
     )
 
 

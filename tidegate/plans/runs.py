@@ -199,7 +199,15 @@ def load_batch(
     current = store.current(flow.entity, store.buckets_of(keys, "entity_id"), commit.at)
     known = materialize(load.only_keys(current, keys), "known")
     history = known.select("entity_id", "was_loaded", "last_id", "attempts")
-    planned = materialize(load.plan_load(valid, known.drop("last_hash"), None, rejections), "plan")
+    planned = load.plan_load(valid, known, None, rejections, ["existing_id", "attempts", "last_hash"])
+    if on_existing is not None:
+        present = F.col("status").isin(S.SKIPPED, S.LOADED)
+        planned = planned.select(
+            "*", F.when(present, content_hash(planned, flow.hash_fields)).alias("content_hash"))
+        planned = planned.select("*", F.when(present, conflict.change_kind(planned)).alias("change"))
+    # What the batch makes of each row's state is read off the plan.  Only logged rows need their last hash for that.
+    planned = planned.withColumn("last_hash", F.when(F.col("status") != S.SKIPPED, F.col("last_hash")))
+    planned = materialize(planned, "plan")
     target_table = f"target_{flow.entity}"
     created = load.number_created(planned, commit.high(target_table))
     # Both parts are stored; together they are not written once more.
@@ -211,7 +219,6 @@ def load_batch(
         payload = flow.payload(rows)
         return payload.select(*fields, F.col("target_id").alias("id"), version.alias("version"))
 
-    new = outcomes.where("created")
     counted = outcomes.agg(
         F.max(F.when(F.col("created"), F.col("target_id"))).alias("last_id"),
         F.count_if("created").alias("created"),
@@ -219,32 +226,32 @@ def load_batch(
         F.count_if(F.col("status") == S.FAILED).alias("failed"),
         F.count_if(F.col("status") == S.LOADED).alias("loaded"),
     ).first()
-    written = target_rows(new)
-    hashed = outcomes.select("*", F.when(F.col("created"), content_hash(outcomes, flow.hash_fields)).alias("_hash"))
-    updated = None
+    written, hashes = F.col("created"), content_hash(outcomes, flow.hash_fields)
 
     if on_existing is not None:
-        found = outcomes.where(~F.col("created") & F.col("status").isin(S.SKIPPED, S.LOADED))
-        compared = found.select("*", content_hash(found, flow.hash_fields).alias("content_hash"))
+        found = outcomes.where(~F.col("created") & present)
+        # Only keys and hashes meet the state here; the plan has told already which rows have changed.
         compared = unique_lookup(
-            compared, known.select("entity_id", "existing_id", "last_hash"), ["entity_id"], left_is_unique=True)
+            found.select("entity_id", "content_hash"), known.select("entity_id", "existing_id", "last_hash"),
+            ["entity_id"], left_is_unique=True)
         decided = materialize(conflict.decide(compared, on_existing).where("change != 'insert'"), "decided")
         commit.append("conflicts", decided.select(
             F.lit(batch_id).alias("batch_id"), F.lit(flow.entity).alias("entity_type"), "entity_id",
             F.col("existing_id").alias("target_id"), "change", "action", "reason", "strategy",
             "content_hash", "last_hash", moment.alias("run_at"),
         ), "entity_id", S.CONFLICTS)
-        updates = decided.where(F.col("action") == S.UPDATE).withColumn(
-            "target_id", F.col("existing_id"))
-        written = written.unionByName(target_rows(updates))
-        updated = updates.select("entity_id", F.col("content_hash").alias("_updated"))
+        action = conflict.action_for(F.col("change"), F.lit(on_existing))
+        # Rows that were not processed, or refused, are not compared: their change is null.
+        written |= F.coalesce((F.col("change") == "changed") & (action == S.UPDATE), F.lit(False))
+        hashes = F.col("content_hash")
 
-    commit.append(target_table, written, flow.ref, flow.target_schema, counted["last_id"])
+    changed_rows = outcomes.where(written).withColumn("target_id", F.coalesce("target_id", "existing_id"))
+    commit.append(target_table, target_rows(changed_rows), flow.ref, flow.target_schema, counted["last_id"])
     # If the created rows are all that is logged, as in a first load, they are in log order already.
     ordered = F.col("target_id") - commit.high(target_table) if counted["created"] == counted["logged"] else None
     logged = load.log_rows(outcomes, flow.entity, batch_id, moment, commit.high("load_log"), ordered)
     commit.append("load_log", logged, "entity_id", S.LOAD_LOG, commit.high("load_log") + counted["logged"])
-    changed = current_rows(hashed, known, updated)
+    changed = current_rows(outcomes.select("*", F.when(written, hashes).alias("_hash")))
     commit.merge(f"current_{flow.entity}", materialize(changed, "current"), "entity_id", S.CURRENT_STATE)
     if reached is not None and counted["failed"] == 0:
         commit.append("watermarks", watermark_row(
@@ -257,20 +264,16 @@ def load_batch(
     return outcomes, history
 
 
-def current_rows(hashed: DataFrame, known: DataFrame, updated: DataFrame | None = None) -> DataFrame:
-    """State of each entity that a batch logged or wrote, after the batch; no side holds an entity twice.
+def current_rows(hashed: DataFrame) -> DataFrame:
+    """State of each entity that a batch logged or wrote, after the batch.
 
-    ``hashed`` are outcomes with ``_hash`` of the rows created, ``updated`` holds the ``_updated`` hash of others written.
+    ``hashed`` are outcomes with ``_hash`` of the rows created or updated.  They carry their state, so nothing is
+    joined: a row that was loaded before is a skipped one, and its last hash matters only if it is not written.
     """
-    kept = ["entity_id", "status", "target_id", "created", "attempt_number", "_hash"]
-    rows = unique_lookup(hashed.select(*kept), known, ["entity_id"], left_is_unique=True)
-    if updated is not None:
-        rows = unique_lookup(rows, updated, ["entity_id"], left_is_unique=True).withColumn(
-            "_hash", F.coalesce("_hash", "_updated"))
     logged, loaded = F.col("status") != S.SKIPPED, F.col("status") == S.LOADED
-    return rows.where(logged | F.col("_hash").isNotNull()).select(
+    return hashed.where(logged | F.col("_hash").isNotNull()).select(
         "entity_id",
-        (F.coalesce("was_loaded", F.lit(False)) | loaded).alias("was_loaded"),
+        (loaded | ~logged).alias("was_loaded"),
         F.when(loaded & F.col("target_id").isNotNull(), F.col("target_id")).otherwise(F.col("last_id")).alias("last_id"),
         F.when(logged, F.col("attempt_number")).otherwise(F.col("attempts")).alias("attempts"),
         F.coalesce("existing_id", F.when(F.col("created"), F.col("target_id"))).alias("existing_id"),

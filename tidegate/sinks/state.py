@@ -160,10 +160,10 @@ class StateStore:
         """Every stored version of the target rows; versions of a row share its id."""
         return self.read(f"target_{entity}", schema)
 
-    def current_target(self, entity: str, schema: T.StructType) -> DataFrame:
-        """Latest version of each target row."""
+    def current_target(self, entity: str, schema: T.StructType, columns: Iterable[str] | None = None) -> DataFrame:
+        """Latest version of each target row: its id and the ``columns`` asked for, else all; no others are moved."""
         rows = self.target(entity, schema)
-        others = [c for c in rows.columns if c != "id"]
+        others = [c for c in columns or rows.columns if c != "id"]
         latest = F.max_by(F.struct(*others), F.col("version")).alias("_row")
         return rows.groupBy("id").agg(latest).select("id", *[f"_row.{c}" for c in others])
 
